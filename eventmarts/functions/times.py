@@ -15,6 +15,7 @@ ISO_PATTERN = (
     r"(?:[Tt _](\d{2}:\d{2})(:\d{2}(?:[.,]\d{1,9})?)?"
     r"([Zz]|[+\-−](?:[01]\d|2[0-3]):?[0-5]\d)?)?$"
 )
+USUAL_PATTERN = r"^[1-9]\d{3}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?Z$"
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
 SECONDS_LIMIT = 20_000_000_000
 MIN_EPOCH_SECONDS = -62_135_596_800  # 0001-01-01
@@ -78,9 +79,14 @@ def iso_text_to_timestamp(text: Column) -> Column:
 
 
 def text_to_timestamp(text: Column) -> Column:
-    """Creation time written as text: an epoch number or an ISO date-time."""
-    return F.when(text.rlike(NUMBER_PATTERN), number_text_to_timestamp(text)).otherwise(
-        iso_text_to_timestamp(text)
+    """Creation time written as text: an epoch number or an ISO date-time.
+
+    The usual spelling is tried first and read directly.
+    """
+    return (
+        F.when(text.rlike(USUAL_PATTERN), text.try_cast("timestamp"))
+        .when(text.rlike(NUMBER_PATTERN), number_text_to_timestamp(text))
+        .otherwise(iso_text_to_timestamp(text))
     )
 
 

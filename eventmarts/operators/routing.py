@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmarts.contracts import (
-    COLLECTION_FOLLOW,
-    COLLECTION_LIKE,
-    COLLECTION_POST,
     ERROR_NO_CURSOR,
     EVENT_TYPES,
+    FOLLOW,
+    POST,
     UNKNOWN_COLLECTION,
     EventType,
 )
@@ -23,82 +22,99 @@ VALID, DEAD, SKIP = "valid", "dlq", "skip"
 BAD_JSON = "bad_json"
 NO_CURSOR_REASON = "missing_time_us"
 
-_PATHS = {
-    "did": "$.did",
-    "time_us": "$.time_us",
-    "kind": "$.kind",
-    "operation": "$.commit.operation",
-    "collection": "$.commit.collection",
-    "rkey": "$.commit.rkey",
-    "cid": "$.commit.cid",
-    "createdAt": "$.commit.record.createdAt",
-    "text": "$.commit.record.text",
-    "langs": "$.commit.record.langs",
-    "subject": "$.commit.record.subject",
-    "uri": "$.commit.record.subject.uri",
-    "subject_cid": "$.commit.record.subject.cid",
-}
-# Keys an event of each type has to carry, in the order their absence is reported.
-_LOOKUPS = {
-    COLLECTION_POST: [("rkey", "rkey"), ("cid", "cid"), ("createdAt", "createdAt"), ("text", "text")],
-    COLLECTION_LIKE: [
-        ("subject", "subject"),
-        ("rkey", "rkey"),
-        ("cid", "cid"),
-        ("createdAt", "createdAt"),
-    ],
-    COLLECTION_FOLLOW: [
-        ("rkey", "rkey"),
-        ("cid", "cid"),
-        ("createdAt", "createdAt"),
-        ("subject", "subject"),
-    ],
-}
-_LIKE_SUBJECT_LOOKUPS = [("uri", "uri"), ("subject_cid", "cid")]
+_SHAPE = (
+    "struct<did:variant,time_us:variant,kind:variant,commit:struct<operation:variant,"
+    "collection:variant,rkey:variant,cid:variant,record:struct<createdAt:variant,text:variant,"
+    "langs:variant,subject:variant,reply:struct<parent:struct<uri:variant>,root:struct<uri:variant>>>>>"
+)
+_SUBJECT_SHAPE = "struct<uri:variant,cid:variant>"
+_COMMIT, _RECORD = "_e.commit", "_e.commit.record"
 
 
 def _first_of(steps: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return reduce(lambda rest, step: F.when(step[0], step[1]).otherwise(rest), steps[::-1], otherwise)
 
 
-def _not_string(name: str) -> Column:
-    return F.coalesce(F.col(f"_k_{name}"), F.lit("")) != "STRING"
-
-
-def _missing(name: str, key: str) -> tuple[Column, Column]:
-    return F.col(f"_k_{name}").isNull(), F.lit(f"KeyError('{key}')")
-
-
-def _missing_key(collection: Column) -> Column:
-    """Reason of the first absent key for the event's own type, or null."""
-    none = F.lit(None).cast("string")
-    like_tail = [(~F.col("_subject_is_object"), F.lit("type:subject"))]
-    like_tail += [_missing(n, k) for n, k in _LIKE_SUBJECT_LOOKUPS]
-    chains = {c: [_missing(n, k) for n, k in names] for c, names in _LOOKUPS.items()}
-    chains[COLLECTION_LIKE] += like_tail
-    return _first_of([(collection == c, _first_of(steps, none)) for c, steps in chains.items()], none)
+def _key_error(column: str, key: str) -> tuple[Column, Column]:
+    return F.col(column).isNull(), F.lit(f"KeyError('{key}')")
+
+
+def _lookups(event: EventType) -> list[tuple[Column, Column]]:
+    """Keys an event of this type has to carry, in the order their absence is reported."""
+    common = [
+        _key_error(f"{_COMMIT}.rkey", "rkey"),
+        _key_error(f"{_COMMIT}.cid", "cid"),
+        _key_error(f"{_RECORD}.createdAt", "createdAt"),
+    ]
+    subject = _key_error(f"{_RECORD}.subject", "subject")
+    if event is POST:
+        return [*common, _key_error(f"{_RECORD}.text", "text")]
+    if event is FOLLOW:
+        return [*common, subject]
+    return [
+        subject,
+        *common,
+        (F.col("_subject").isNull(), F.lit("type:subject")),
+        _key_error("_subject.uri", "uri"),
+        _key_error("_subject.cid", "cid"),
+    ]
+
+
+def _misfits(event: EventType) -> list[tuple[Column, str]]:
+    """Conditions under which a present field has the wrong type, with the field's name."""
+    own = {
+        "post": [
+            (~J.is_string(f"{_RECORD}.text"), "text"),
+            (~J.is_optional_string_list(f"{_RECORD}.langs"), "langs"),
+        ],
+        "like": [
+            (~J.is_string("_subject.uri"), "subject.uri"),
+            (~J.is_string("_subject.cid"), "subject.cid"),
+        ],
+        "follow": [(~J.is_string(f"{_RECORD}.subject"), "subject")],
+    }
+    return [
+        (~J.is_string("_e.did"), "did"),
+        (~J.is_string(f"{_COMMIT}.rkey"), "rkey"),
+        (~J.is_string(f"{_COMMIT}.cid"), "cid"),
+        (F.col("created_at").isNull(), "createdAt"),
+        *own[event.name],
+    ]
 
 
-def _wrong_types(collection: Column) -> Column:
-    """Every present but wrong-typed field as ``type:<field>``, joined; empty if none."""
+def _decide(strict_types_to_dlq: bool) -> Column:
+    """Route and reason, the first rule that applies."""
 
-    def bad(condition: Column, name: str) -> Column:
-        return F.when(condition, F.lit(f"type:{name}"))
+    def to(route: str, reason: Column | str) -> Column:
+        reason = F.lit(reason) if isinstance(reason, str) else reason
+        return F.struct(F.lit(route).alias("route"), reason.alias("reason"))
 
-    is_post = collection == COLLECTION_POST
-    is_like = collection == COLLECTION_LIKE
-    is_follow = collection == COLLECTION_FOLLOW
-    return F.concat_ws(
-        ",",
-        bad(_not_string("did"), "did"),
-        bad(_not_string("rkey"), "rkey"),
-        bad(_not_string("cid"), "cid"),
-        bad(F.col("created_at").isNull(), "createdAt"),
-        bad(is_post & _not_string("text"), "text"),
-        bad(is_post & ~F.col("_langs_ok"), "langs"),
-        bad(is_like & _not_string("uri"), "subject.uri"),
-        bad(is_like & _not_string("subject_cid"), "subject.cid"),
-        bad(is_follow & _not_string("subject"), "subject"),
+    def judge(event: EventType) -> Column:
+        misfits = _misfits(event)
+        named = F.concat_ws(",", *[F.when(bad, F.lit(f"type:{name}")) for bad, name in misfits])
+        return _first_of(
+            [
+                *[(absent, to(DEAD, reason)) for absent, reason in _lookups(event)],
+                (
+                    reduce(lambda a, b: a | b, [bad for bad, _ in misfits]),
+                    to(DEAD if strict_types_to_dlq else SKIP, named),
+                ),
+                (F.col("cursor").isNull(), to(DEAD, ERROR_NO_CURSOR)),
+            ],
+            to(VALID, F.lit(None).cast("string")),
+        )
+
+    return _first_of(
+        [
+            (F.col("_e").isNull(), to(DEAD, BAD_JSON)),
+            (~J.text("_e.kind").eqNullSafe("commit"), to(SKIP, "not a commit")),
+            (F.col(_COMMIT).isNull(), to(SKIP, "no commit object")),
+            (~J.text(f"{_COMMIT}.operation").eqNullSafe("create"), to(SKIP, "not a create")),
+            (F.col(_RECORD).isNull(), to(SKIP, "no record object")),
+            (F.col("_e.did").isNull(), to(DEAD, "KeyError('did')")),
+            *[(F.col("_collection") == e.collection, judge(e)) for e in EVENT_TYPES.values()],
+        ],
+        to(SKIP, "unknown collection"),
     )
 
 
@@ -113,96 +129,49 @@ def route_events(
     A field that is present but of the wrong type makes a dead letter; with
     ``strict_types_to_dlq=False`` such an event is skipped instead.
 
-    Everything is a projection: no shuffle, and the line is parsed once.
+    No shuffle.  The line is parsed once, its fields are picked out once and its route is
+    decided once; the typed fields that only the output needs are taken after the decision,
+    so a filter on the route comes before them.
     """
     parsed = raw.withColumn("event", J.parse(line))
-    v = F.col("event")
-    langs_kind = J.kind(v, _PATHS["langs"])
-    looked = parsed.select(
+    picked = parsed.withColumn("_e", J.fields("event", _SHAPE))
+    created = F.col(f"{_RECORD}.createdAt")
+    looked = picked.select(
         "*",
-        *[
-            (J.text_if_string(v, p) if name in ("kind", "operation") else J.kind(v, p)).alias(
-                f"_k_{name}"
-            )
-            for name, p in _PATHS.items()
-            if name not in ("langs", "collection")
-        ],
-        J.is_object(v, "$").alias("_is_object"),
-        J.is_object(v, "$.commit").alias("_has_commit"),
-        J.is_object(v, "$.commit.record").alias("_has_record"),
-        J.is_object(v, _PATHS["subject"]).alias("_subject_is_object"),
-        (F.coalesce(langs_kind == "VOID", F.lit(True)) | J.is_string_list(v, _PATHS["langs"])).alias(
-            "_langs_ok"
-        ),
-        J.text_if_string(v, _PATHS["collection"]).alias("collection"),
-        J.text(v, _PATHS["collection"]).alias("_collection_text"),
-        J.text(v, _PATHS["did"]).alias("did"),
-        J.text(v, _PATHS["rkey"]).alias("rkey"),
-        J.text(v, _PATHS["cid"]).alias("cid"),
-        J.text(v, _PATHS["createdAt"]).alias("_created_text"),
-        J.text(v, _PATHS["text"]).alias("text"),
-        F.coalesce(J.string_list(v, _PATHS["langs"]), F.array().cast("array<string>")).alias("langs"),
-        J.text_if_string(v, "$.commit.record.reply.parent.uri").alias("reply_parent"),
-        J.text_if_string(v, "$.commit.record.reply.root.uri").alias("reply_root"),
-        J.text(v, _PATHS["uri"]).alias("subject_uri"),
-        J.text(v, _PATHS["subject_cid"]).alias("subject_cid"),
-        J.text(v, _PATHS["subject"]).alias("subject_did"),
-        F.when(
-            J.kind(v, _PATHS["time_us"]) == "BIGINT",
-            F.try_variant_get(v, _PATHS["time_us"], "bigint"),
-        ).alias("cursor"),
+        J.text(f"{_COMMIT}.collection").alias("_collection"),
+        J.integer("_e.time_us").alias("cursor"),
+        J.fields(f"{_RECORD}.subject", _SUBJECT_SHAPE).alias("_subject"),
+        J.kind(created).alias("_created_kind"),
+        J.text(created).alias("_created_text"),
     )
     timed = looked.withColumn(
-        "created_at", times.value_to_timestamp(F.col("_k_createdAt"), F.col("_created_text"))
-    )
-    collection = F.col("collection")
-    known = F.coalesce(collection.isin(*[e.collection for e in EVENT_TYPES.values()]), F.lit(False))
-    reasons = timed.withColumn("_missing", _missing_key(collection)).withColumn(
-        "_wrong", _wrong_types(collection)
-    )
-
-    def to(route: str, reason: Column | str) -> Column:
-        reason = F.lit(reason) if isinstance(reason, str) else reason
-        return F.struct(F.lit(route).alias("route"), reason.alias("reason"))
-
-    decision = _first_of(
-        [
-            (~F.col("_is_object"), to(DEAD, BAD_JSON)),
-            (~F.col("_k_kind").eqNullSafe("commit"), to(SKIP, "not a commit")),
-            (~F.col("_has_commit"), to(SKIP, "no commit object")),
-            (~F.col("_k_operation").eqNullSafe("create"), to(SKIP, "not a create")),
-            (~F.col("_has_record"), to(SKIP, "no record object")),
-            (F.col("_k_did").isNull(), to(DEAD, "KeyError('did')")),
-            (~known, to(SKIP, "unknown collection")),
-            (F.col("_missing").isNotNull(), to(DEAD, F.col("_missing"))),
-            (F.col("_wrong") != "", to(DEAD if strict_types_to_dlq else SKIP, F.col("_wrong"))),
-            (F.col("cursor").isNull(), to(DEAD, ERROR_NO_CURSOR)),
-        ],
-        to(VALID, F.lit(None).cast("string")),
+        "created_at", times.value_to_timestamp(F.col("_created_kind"), F.col("_created_text"))
     )
     event_type = _first_of(
-        [(collection == e.collection, F.lit(e.name)) for e in EVENT_TYPES.values()],
+        [(F.col("_collection") == e.collection, F.lit(e.name)) for e in EVENT_TYPES.values()],
         F.lit(None).cast("string"),
     )
-    return reasons.withColumn("_decision", decision).select(
+    decided = J.hold(timed, _decision=_decide(strict_types_to_dlq), event_type=event_type)
+    no_tags = F.array().cast("array<string>")
+    return decided.select(
         *raw.columns,
         "event",
         F.col("_decision.route").alias("route"),
         F.col("_decision.reason").alias("reason"),
-        event_type.alias("event_type"),
-        F.coalesce("_collection_text", F.lit(UNKNOWN_COLLECTION)).alias("intended_topic"),
+        "event_type",
+        F.coalesce("_collection", F.lit(UNKNOWN_COLLECTION)).alias("intended_topic"),
         "cursor",
-        "did",
-        "rkey",
-        "cid",
+        J.text("_e.did").alias("did"),
+        J.text(f"{_COMMIT}.rkey").alias("rkey"),
+        J.text(f"{_COMMIT}.cid").alias("cid"),
         "created_at",
-        "text",
-        "langs",
-        "reply_parent",
-        "reply_root",
-        "subject_uri",
-        "subject_cid",
-        "subject_did",
+        J.text(f"{_RECORD}.text").alias("text"),
+        F.coalesce(J.string_list(f"{_RECORD}.langs"), no_tags).alias("langs"),
+        J.text_if_string(f"{_RECORD}.reply.parent.uri").alias("reply_parent"),
+        J.text_if_string(f"{_RECORD}.reply.root.uri").alias("reply_root"),
+        J.text("_subject.uri").alias("subject_uri"),
+        J.text("_subject.cid").alias("subject_cid"),
+        J.text(f"{_RECORD}.subject").alias("subject_did"),
     )
 
 
@@ -213,12 +182,16 @@ def valid_rows(routed: DataFrame, event: EventType) -> DataFrame:
     )
 
 
+def raw_payload(line: str = "value") -> Column:
+    """A quarantined line: canonical JSON where it parsed, the line itself where it did not."""
+    parsed = F.when(F.col("reason") != BAD_JSON, J.canonical_json("event"))
+    return F.coalesce(parsed, F.col(line), F.lit("null"))
+
+
 def dead_letters(routed: DataFrame, received_at: Column, line: str = "value") -> DataFrame:
     """Dead-letter envelopes of the lines routed to quarantine."""
     return routed.where(F.col("route") == DEAD).select(
-        F.coalesce(
-            F.when(F.col("reason") != BAD_JSON, J.canonical_json("event")), F.col(line), F.lit("null")
-        ).alias("raw_payload"),
+        raw_payload(line).alias("raw_payload"),
         F.col("reason").alias("error"),
         "intended_topic",
         received_at.alias("received_at"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,73 +12,72 @@ from eventmarts.contracts import ERROR_EMPTY_PAYLOAD, EventType
 from eventmarts.functions import json_fields as J
 from eventmarts.functions import times
 
-_PROVENANCE = ("kafka_partition", "kafka_offset")
-
-
-def _problems(event: EventType, v: Column, created_at: Column) -> Column:
-    """Every breach of the contract as ``missing:``, ``type:`` or ``extra:`` plus the field."""
-    found: list[Column] = []
+def _breaches(event: EventType) -> list[tuple[Column, Column]]:
+    """Conditions that break the contract, each with its name: the field is ``missing:``, has
+    the wrong ``type:``, or is an ``extra:`` one."""
+    found: list[tuple[Column, Column]] = []
     for f in event.record.fields:
-        path = f"$.{f.name}"
-        kind = J.kind(v, path)
+        value = F.col("_members")[f.name]
         if isinstance(f.dataType, T.TimestampType):
-            fits = created_at.isNotNull()
+            fits = F.col("_created").isNotNull()
         elif isinstance(f.dataType, T.ArrayType):
-            fits = J.is_string_list(v, path)
+            fits = J.is_optional_string_list(value)
+        elif f.nullable:
+            fits = value.isNull() | F.is_variant_null(value) | J.is_string(value)
         else:
-            fits = kind == "STRING"
-        if f.nullable:
-            found.append(F.when(kind.isNotNull() & (kind != "VOID") & ~fits, F.lit(f"type:{f.name}")))
-        else:
-            found.append(
-                F.when(kind.isNull(), F.lit(f"missing:{f.name}")).when(~fits, F.lit(f"type:{f.name}"))
-            )
+            fits = J.is_string(value)
+        if not f.nullable:
+            found.append((value.isNull(), F.lit(f"missing:{f.name}")))
+            fits = value.isNull() | fits
+        found.append((~fits, F.lit(f"type:{f.name}")))
     declared = F.array(*[F.lit(n) for n in event.record.names])
-    extra = F.transform(
-        F.array_sort(F.array_except(J.keys(v, "$"), declared)),
-        lambda name: F.concat(F.lit("extra:"), name),
-    )
-    return F.concat_ws(",", *found, extra)
+    extra = F.array_except(F.map_keys("_members"), declared)
+    names = F.transform(F.array_sort(extra), lambda name: F.concat(F.lit("extra:"), name))
+    found.append((F.size(extra) > 0, F.concat_ws(",", names)))
+    return found
 
 
 def validate_flat(records: DataFrame, event: EventType, payload: str = "payload") -> DataFrame:
-    """Decode each record; ``error`` is null on rows that keep the contract.
+    """Decode each record; ``error`` and ``raw_payload`` are null on rows that keep the contract.
 
     ``payload`` is JSON text, or a struct as a schema-aware reader delivers it.  Rows are
     neither dropped nor raised on.  A null language list becomes an empty one.
     """
     source = F.col(payload)
-    if isinstance(records.schema[payload].dataType, T.StringType):
-        value = J.parse(source)
-    else:
-        value = F.to_variant_object(source)
-    parsed = records.withColumn("_value", value)
-    v = F.col("_value")
-    timed = parsed.withColumn(
-        "_created", times.value_to_timestamp(J.kind(v, "$.created_at"), J.text(v, "$.created_at"))
+    is_text = isinstance(records.schema[payload].dataType, T.StringType)
+    value = J.parse(source) if is_text else F.to_variant_object(source)
+    split = records.withColumn("_value", value).withColumn("_members", J.members("_value"))
+    created = F.col("_members")["created_at"]
+    timed = split.select(
+        "*", J.kind(created).alias("_created_kind"), J.text(created).alias("_created_text")
+    ).withColumn(
+        "_created", times.value_to_timestamp(F.col("_created_kind"), F.col("_created_text"))
     )
-    checked = timed.withColumn("_problems", _problems(event, v, F.col("_created")))
-    empty = v.isNull() | F.is_variant_null(v)
+    breaches = _breaches(event)
+    broken = reduce(lambda a, b: a | b, [bad for bad, _ in breaches])
+    named = F.concat_ws(",", *[F.when(bad, name) for bad, name in breaches])
     error = (
-        F.when(empty, F.lit(ERROR_EMPTY_PAYLOAD))
-        .when(~J.is_object(v, "$"), F.lit("type:record"))
-        .when(F.col("_problems") != "", F.col("_problems"))
+        F.when(F.col("_value").isNull() | F.is_variant_null("_value"), F.lit(ERROR_EMPTY_PAYLOAD))
+        .when(F.col("_members").isNull(), F.lit("type:record"))
+        .when(broken, named)
     )
+    checked = J.hold(timed, error=error)
 
     def field(f: T.StructField) -> Column:
-        path = f"$.{f.name}"
         if isinstance(f.dataType, T.TimestampType):
             return F.col("_created").alias(f.name)
+        value = F.col("_members")[f.name]
         if isinstance(f.dataType, T.ArrayType):
-            return F.coalesce(J.string_list(v, path), F.array().cast("array<string>")).alias(f.name)
-        return J.text(v, path).alias(f.name)
+            return F.coalesce(J.string_list(value), F.array().cast("array<string>")).alias(f.name)
+        return J.text(value).alias(f.name)
 
-    as_text = source if isinstance(records.schema[payload].dataType, T.StringType) else F.to_json(source)
+    as_text = source if is_text else F.to_json(source)
+    raw_payload = F.coalesce(J.canonical_json("_value"), as_text, F.lit("null"))
     kept = [c for c in records.columns if c != payload and c not in event.record.names]
     return checked.select(
         *kept,
-        error.alias("error"),
-        F.coalesce(J.canonical_json(v), as_text, F.lit("null")).alias("raw_payload"),
+        "error",
+        F.when(F.col("error").isNotNull(), raw_payload).alias("raw_payload"),
         *[field(f) for f in event.record.fields],
     )
 

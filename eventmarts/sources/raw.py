@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventmarts.contracts import EVENT_TYPES
 from eventmarts.functions import json_fields as J
 
+_SHAPE = "struct<time_us:variant,commit:struct<collection:variant>>"
 WANTED = tuple(e.collection for e in EVENT_TYPES.values())
 
 
@@ -49,13 +50,13 @@ def select_events(
     cannot be read: the router decides about those.  Without a cursor, reading starts at the
     beginning.
     """
-    seen = lines.withColumn("_event", J.parse(line))
-    collection = J.text_if_string("_event", "$.commit.collection")
-    wanted = seen.where(F.coalesce(collection.isin(*collections), F.lit(True)))
+    parsed = lines.withColumn("_e", J.fields(J.parse(line), _SHAPE))
+    seen = J.hold(
+        parsed,
+        _collection=J.text_if_string("_e.commit.collection"),
+        _at=J.integer("_e.time_us"),
+    )
+    wanted = seen.where(F.coalesce(F.col("_collection").isin(*collections), F.lit(True)))
     if cursor is not None:
-        at = F.when(
-            J.kind("_event", "$.time_us") == "BIGINT",
-            F.try_variant_get("_event", "$.time_us", "bigint"),
-        )
-        wanted = wanted.where(F.coalesce(at > cursor, F.lit(True)))
-    return wanted.drop("_event")
+        wanted = wanted.where(F.coalesce(F.col("_at") > cursor, F.lit(True)))
+    return wanted.select(*lines.columns)

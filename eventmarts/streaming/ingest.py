@@ -8,15 +8,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventmarts.contracts import EVENT_TYPES
 from eventmarts.operators.progress import ingest_counters, topic_partition
-from eventmarts.operators.routing import dead_letters, route_events, valid_rows
+from eventmarts.operators.routing import DEAD, VALID, raw_payload, route_events
 from eventmarts.sources.tables import write_unit
 from eventmarts.streaming.batches import batch_key, start
 
 
-def topic_rows(valid: DataFrame, names: list[str]) -> DataFrame:
-    """Topic records of valid rows: JSON payload, the author's partition, cursor as offset."""
-    return valid.select(
-        F.to_json(F.struct(*names)).alias("payload"),
+def outgoing(routed: DataFrame, line: str = "value") -> DataFrame:
+    """What leaves the router: one JSON payload per row, flat for a valid event, the original
+    for a dead letter, none for a skipped line."""
+    payload = F.when(F.col("route") == DEAD, raw_payload(line))
+    for event in EVENT_TYPES.values():
+        ours = (F.col("route") == VALID) & (F.col("event_type") == event.name)
+        payload = payload.when(ours, F.to_json(F.struct(*event.record.names)))
+    return routed.select(
+        "route",
+        "reason",
+        "event_type",
+        "intended_topic",
+        payload.alias("payload"),
         topic_partition("did").alias("kafka_partition"),
         F.col("cursor").alias("kafka_offset"),
     )
@@ -34,22 +43,29 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Route each micro-batch once and write its parts.
 
-    The offsets of a batch are committed by the checkpoint after all its writes; a batch
+    A topic record has its author's partition, and the event's cursor as its offset.  The
+    offsets of a batch are committed by the checkpoint after all its writes; a batch
     interrupted in between is repeated and overwrites its own parts.
     """
-    stamped = route_events(lines).withColumn("_received", F.current_timestamp())
+    routed = outgoing(route_events(lines)).withColumn("received_at", F.current_timestamp())
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        routed = batch.persist()
+        rows = batch.persist()
         try:
             key = batch_key(batch, batch_id)
             for name, path in topics.items():
-                event = EVENT_TYPES[name]
-                rows = topic_rows(valid_rows(routed, event), event.record.names)
-                write_unit(rows, path, "batch", key)
-            write_unit(dead_letters(routed, F.col("_received")), dlq, "batch", key)
-            write_unit(ingest_counters(routed), counters, "batch", key)
+                ours = (F.col("route") == VALID) & (F.col("event_type") == name)
+                topic = rows.where(ours).select("payload", "kafka_partition", "kafka_offset")
+                write_unit(topic, path, "batch", key)
+            dead = rows.where(F.col("route") == DEAD).select(
+                F.col("payload").alias("raw_payload"),
+                F.col("reason").alias("error"),
+                "intended_topic",
+                "received_at",
+            )
+            write_unit(dead, dlq, "batch", key)
+            write_unit(ingest_counters(rows), counters, "batch", key)
         finally:
-            routed.unpersist()
+            rows.unpersist()
 
-    return start(stamped, each_batch, checkpoint, drain=drain, **options)
+    return start(routed, each_batch, checkpoint, drain=drain, **options)
