@@ -121,10 +121,13 @@ def null_rate_of_versions(
 ) -> DataFrame:
     """``null_rate(latest_per_key(rows))`` without deduplicating every key.
 
-    Only keys that have an empty row in some version can have one in their latest, and there
-    are normally none; the filter on them is decided by file statistics.
+    Only a key with an empty row in some version can have one in its latest, and normally
+    there is none: then one filtered scan, which file statistics cut short, is all.
     """
-    suspects = rows.where(_empty(columns)).select(*KEY).distinct()
+    bad = rows.where(_empty(columns))
+    if bad.isEmpty():
+        return null_rate(bad, target, columns)
+    suspects = bad.select(*KEY).distinct()
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in KEY]
     versions = rows.alias("r").join(suspects.alias("s"), reduce(lambda a, b: a & b, same), "left_semi")
     return null_rate(latest_per_key(versions, version), target, columns)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmarts.contracts import COLLECTION_FOLLOW, COLLECTION_LIKE, COLLECTION_POST
+from eventmarts.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,7 +168,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = _object(did, time_us, _member("kind", _quoted(kind)), commit)
     broken = F.when(slot == 10, F.lit('{"did":"broken')).otherwise(line)
-    return table(spark, sf_dir, "events").select("event_id", broken.alias("value"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", broken.alias("value"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +189,8 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("commit").alias("kind"),
         commit.alias("commit"),
     )
-    return table(spark, sf_dir, "documents").select("doc_id", F.to_json(event).alias("value"))
+    documents = spread(table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", F.to_json(event).alias("value"))
 
 
 def topic_records(spark: SparkSession, sf_dir: str, event_name: str) -> DataFrame:
@@ -199,7 +201,7 @@ def topic_records(spark: SparkSession, sf_dir: str, event_name: str) -> DataFram
         _member("cid", _quoted(F.col("cid"))),
         _member("created_at", _quoted(iso(F.col("created_at")))),
     ]
-    rows = archived(spark, sf_dir)
+    rows = spread(archived(spark, sf_dir))
     if event_name == "post":
         members += [
             _member("text", _quoted(F.col("text"))),

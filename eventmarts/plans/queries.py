@@ -513,7 +513,7 @@ def _topic(spark: SparkSession, sf_dir: str, root: str, event: C.EventType, flat
     """The event type's records written as a topic folder of several files."""
     path = f"{root}/topic/{event.name}"
     records = views.topic_records(spark, sf_dir, event.name) if flat is None else flat
-    records.repartition(4, "kafka_partition").write.parquet(path)
+    records.repartition(8).write.parquet(path)
     return path
 
 
@@ -524,7 +524,7 @@ def stream_archive(spark, sf_dir):
     path = _topic(spark, sf_dir, root, C.POST)
     for _ in range(2):
         archive.archive_stream(
-            topics.stream_topic(spark, path, max_files=2),
+            topics.stream_topic(spark, path, max_files=4),
             C.POST,
             f"{root}/bronze",
             f"{root}/dlq",
@@ -544,7 +544,7 @@ def stream_dlq_split(spark, sf_dir):
     flat = views.flat_records(spark, sf_dir, "post")
     path = _topic(spark, sf_dir, root, C.POST, flat)
     archive.archive_stream(
-        topics.stream_topic(spark, path, max_files=3),
+        topics.stream_topic(spark, path, max_files=4),
         C.POST,
         f"{root}/bronze",
         f"{root}/dlq",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmarts.contracts import REWINDOW_DAYS, EventType
-from eventmarts.functions.times import from_micros, instant, to_micros
+from eventmarts.functions.times import from_micros, instant
 from eventmarts.operators import checks
 from eventmarts.operators.dedup import latest_per_key
 from eventmarts.operators.incremental import (
@@ -89,18 +89,16 @@ def load_newer(
 ) -> int:
     """Append the source rows above the saved mark, then save the new mark.
 
-    The folder is named by the mark the load started from, so a load that died before saving
+    The new mark is the highest arrival time among the rows that were written.  The folder is named by the mark the load started from, so a load that died before saving
     is overwritten by its retry.  A mark is saved only after its rows are written.
     """
     saved = state.load(name)
     fresh = newer_than(source, from_micros(saved))
-    top = high_water(fresh)
-    if top is None:
-        return 0
-    fresh = fresh.where(F.col("ingest_ts") <= instant(top))
-    loaded = write_unit(fresh, path, "load", str(saved or 0), DAY_COLUMNS, block_rows)
-    state.save(name, to_micros(top), now)
-    return loaded
+    top = F.max(F.unix_micros(F.col("ingest_ts").cast("timestamp")))
+    seen = write_unit(fresh, path, "load", str(saved or 0), DAY_COLUMNS, block_rows, top=top)
+    if seen["top"] is not None:
+        state.save(name, seen["top"], now)
+    return seen["rows"]
 
 
 def refresh_mart(

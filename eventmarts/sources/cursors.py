@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventmarts.contracts import CURSORS
 from eventmarts.operators.progress import latest_cursors
@@ -26,8 +27,9 @@ class CursorTable:
 
     def load(self, stream_name: str) -> int | None:
         """Saved position, or None for a fresh stream."""
-        row = self.current().where(f"stream_name = '{stream_name}'").first()
-        return None if row is None else row["cursor"]
+        ours = self.entries().where(F.col("stream_name") == stream_name)
+        newest = ours.agg(F.max(F.struct("updated_at", "cursor")).alias("newest")).first()["newest"]
+        return None if newest is None else newest["cursor"]
 
     def save(self, stream_name: str, cursor: int, updated_at: datetime) -> None:
         """Record a position.  Call only once the data up to it is written."""

@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,15 +41,21 @@ def write_unit(
     key: str,
     partition_by: Sequence[str] = (),
     block_rows: int | None = None,
-) -> int:
-    """Write the rows of one unit of work under ``path/unit=key``; gives the row count.
+    **measures: Column,
+) -> dict:
+    """Write the rows of one unit of work under ``path/unit=key``; gives ``rows`` and measures.
 
     Rows are first gathered by the partition columns with a rebalance, which splits a day
     that holds most of the rows over several tasks and merges the small ones, so each folder
-    gets files of a good size.  The count is taken while writing.
+    gets files of a good size.
+
+    The row count and any further aggregates are taken while writing.  When a lost executor
+    makes tasks run twice the count may come out too high, so it only serves reports; a
+    largest value or a set of values does not change.
     """
-    counted = Observation()
-    out = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    seen = Observation()
+    named = [m.alias(name) for name, m in measures.items()]
+    out = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode("overwrite")
@@ -58,7 +64,17 @@ def write_unit(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{unit}={key}")
-    return counted.get["rows"]
+    return seen.get
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal a scan out to all cores if it has fewer splits than there are cores.
+
+    For heavy work per row on a small input.  A large input already has a split per core and
+    more, and is left where it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def with_day_columns(rows: DataFrame) -> DataFrame:
@@ -74,26 +90,29 @@ def read_archived(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def replace_days(recomputed: DataFrame, path: str, start: date | None, schema: T.StructType) -> None:
-    """Replace every day of the mart from ``start`` on by the recomputed rows.
+    """Replace every day of the mart from ``start`` on, or all days, by the recomputed rows.
 
-    Days with rows are swapped by dynamic partition overwrite.  A day that had rows and has
-    none now is emptied, so no stale group survives.
+    Days with rows are swapped together at the end of the write by dynamic partition
+    overwrite, so a failed run leaves the mart as it was.  A day that had rows and has none
+    now is emptied, so no stale group survives.
     """
     spark = recomputed.sparkSession
-    stored = [f for f in schema.fields if f.name != "day"]
-    before = read_table(spark, path, T.StructType(stored), [("day", "date")]).select("day").distinct()
+    before = read_mart(spark, path, schema).select("day").distinct()
     if start is not None:
         before = before.where(F.col("day") >= F.lit(start))
-    days_before = {r["day"] for r in before.collect()}  # one value per day of the window
+    days_before = {r["day"] for r in before.collect()}  # one value per day
     written = Observation()
-    out = recomputed.observe(written, F.collect_set("day").alias("days")).hint("rebalance", "day")
-    writer = out.write.mode("overwrite")
-    if start is not None:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("day").parquet(path)
-    gone = set() if start is None else days_before - set(written.get["days"])
-    for day in sorted(gone):
-        empty = spark.createDataFrame([], T.StructType(stored))
+    (
+        recomputed.observe(written, F.collect_set("day").alias("days"))
+        .hint("rebalance", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day")
+        .parquet(path)
+    )
+    stored = T.StructType([f for f in schema.fields if f.name != "day"])
+    for day in sorted(days_before - set(written.get["days"])):
+        empty = spark.createDataFrame([], stored)
         empty.write.mode("overwrite").parquet(f"{path}/day={day.isoformat()}")
 
 

@@ -41,8 +41,10 @@ def archive_stream(
             key = batch_key(batch, batch_id)
             good = with_day_columns(accepted(rows, event))
             bad = rejected(rows, event, F.col("ingest_ts"))
-            totals["archived_this_run"] += write_unit(good, bronze, "batch", key, DAY_COLUMNS)
-            totals["dlq_this_run"] += write_unit(bad, dlq, "batch", key)
+            totals["archived_this_run"] += write_unit(good, bronze, "batch", key, DAY_COLUMNS)[
+                "rows"
+            ]
+            totals["dlq_this_run"] += write_unit(bad, dlq, "batch", key)["rows"]
         finally:
             rows.unpersist()
 
