@@ -55,9 +55,9 @@ def write_unit(
     """
     seen = Observation()
     named = [m.alias(name) for name, m in measures.items()]
-    out = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    out = rows.hint("rebalance", *partition_by) if partition_by else rows
+    # Above the rebalance: below it, an empty shuffle would take the measuring step with it.
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"), *named)
     writer = out.write.mode("overwrite")
     if block_rows is not None:
         writer = writer.option("maxRecordsPerFile", block_rows)
@@ -103,8 +103,8 @@ def replace_days(recomputed: DataFrame, path: str, start: date | None, schema: T
     days_before = {r["day"] for r in before.collect()}  # one value per day
     written = Observation()
     (
-        recomputed.observe(written, F.collect_set("day").alias("days"))
-        .hint("rebalance", "day")
+        recomputed.hint("rebalance", "day")
+        .observe(written, F.collect_set("day").alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

@@ -71,6 +71,13 @@ def test_archive_resumes_and_rerun_adds_nothing(spark, tmp_path):
     assert {r["intended_topic"] for r in dead.collect()} == {C.TOPIC_POST}
 
 
+def test_batch_of_bad_records_only(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, f"{root}/topic", [(1, {"did": 1}), (2, None)])
+    assert run_archive(spark, root) == {"archived_this_run": 0, "dlq_this_run": 2}
+    assert bronze_of(spark, root).count() == 0
+
+
 def test_one_arrival_time_per_batch(spark, tmp_path):
     root = str(tmp_path)
     for i in range(3):
