@@ -25,14 +25,16 @@ def safe_cursor(log: DataFrame, salts: int = 16) -> DataFrame:
     """Highest cursor per stream below which every registered cursor is acknowledged.
 
     ``log`` holds (stream, cursor, registered, acked).  An unregistered acknowledgement is
-    ignored; a cursor listed more than once counts as acknowledged when all its entries are.
+    ignored; a missing one is none; a cursor listed more than once needs all its entries
+    acknowledged.
     Streams with nothing safe yet give null.
 
     The first gap per stream is one small row.  It is copied once per salt and met by the log
     on (stream, salt), so a stream holding most of the log is spread over ``salts`` tasks;
     when the gaps turn out small at run time, the adaptive planner broadcasts them instead.
     """
-    registered = log.where("registered").select("stream", "cursor", "acked")
+    acked = F.coalesce("acked", F.lit(False))
+    registered = log.where("registered").select("stream", "cursor", acked.alias("acked"))
     gaps = registered.groupBy("stream").agg(
         F.min(F.when(~F.col("acked"), F.col("cursor"))).alias("gap")
     )
