@@ -73,10 +73,15 @@ def string_list(value: Column | str) -> Column:
 
 
 def is_string_list(value: Column | str) -> Column:
-    """True for a list holding strings only; an empty list counts, a null element does not."""
+    """True for a list holding strings only; an empty list counts, a null element does not.
+
+    A null is found by joining the list with and without a stand-in for nulls: unlike a
+    lambda over the elements, this stays inside generated code.
+    """
     items = string_list(value)
+    no_null = F.length(F.array_join(items, "", "x")) == F.length(F.array_join(items, ""))
     return (
-        F.when(kind(value) == "ARRAY<STRING>", ~F.exists(items, lambda x: x.isNull()))
+        F.when(kind(value) == "ARRAY<STRING>", no_null)
         .when(kind(value) == "ARRAY<VOID>", F.size(items) == 0)
         .otherwise(F.lit(False))
     )

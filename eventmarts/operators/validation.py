@@ -32,8 +32,8 @@ def _breaches(event: EventType) -> list[tuple[Column, Column]]:
         found.append((~fits, F.lit(f"type:{f.name}")))
     declared = F.array(*[F.lit(n) for n in event.record.names])
     extra = F.array_except(F.map_keys("_members"), declared)
-    names = F.transform(F.array_sort(extra), lambda name: F.concat(F.lit("extra:"), name))
-    found.append((F.size(extra) > 0, F.concat_ws(",", names)))
+    names = F.concat(F.lit("extra:"), F.array_join(F.sort_array(extra), ",extra:"))
+    found.append((F.size(extra) > 0, names))
     return found
 
 
