@@ -107,7 +107,7 @@ def _empty(columns: Sequence[str]) -> Column:
 
 def null_rate(deduped: DataFrame, target: str = "staging", columns: Sequence[str] = IDENTITY) -> DataFrame:
     """No row may have an empty or null identity column."""
-    counted = deduped.agg(F.count_if(_empty(columns)).alias("bad"))
+    counted = deduped.where(_empty(columns)).agg(F.count(F.lit(1)).alias("bad"))
     return _result(
         counted, "null_rate", target, F.col("bad") == 0, F.col("bad"), F.lit(0), blocking=True
     )
@@ -142,9 +142,9 @@ def not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def not_null_result(rows: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """The same as one check row."""
+    """The same as one check row, by a filter: null counts in the files rule out most of them."""
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    counted = rows.agg(F.count_if(any_null).alias("bad"))
+    counted = rows.where(any_null).agg(F.count(F.lit(1)).alias("bad"))
     return _result(
         counted, "not_null", target, F.col("bad") == 0, F.col("bad"), F.lit(0), blocking=True
     )

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from eventmarts.contracts import COLLECTION_FOLLOW, COLLECTION_LIKE, COLLECTION_POST
 from eventmarts.sources.tables import spread
 
+OTHER_COLLECTION = "example.other.record"  # a collection nobody subscribes to
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -95,7 +97,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_like = F.col("event_type") == "click"
     is_follow = F.col("event_type") == "signup"
     collection = (
-        F.when(slot.isin(6, 7), F.lit("app.bsky.graph.block"))
+        F.when(slot.isin(6, 7), F.lit(OTHER_COLLECTION))
         .when(is_like, F.lit(COLLECTION_LIKE))
         .when(is_follow, F.lit(COLLECTION_FOLLOW))
         .otherwise(F.lit(COLLECTION_POST))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from eventmarts import contracts as C
+from eventmarts.plans.event_views import OTHER_COLLECTION
+
 _ARCHIVED = """
 archived as (
   select cast(user_id as varchar) as did, cast(event_id % 97 as varchar) as rkey,
@@ -53,7 +56,7 @@ def _by_subject(source: str, subject: str, n: str, who: str) -> str:
 
 
 # What happens to a raw line, from its number and type alone.
-_ROUTED = """
+_ROUTED = f"""
 routed as (
   select *, case when route = 'valid' or route = 'skip' or reason <> 'bad_json'
                  then collection else 'unknown' end as topic
@@ -82,11 +85,11 @@ routed as (
     from (
       select *, event_id % 31 as s,
         case event_type when 'click' then 'like' when 'signup' then 'follow' else 'post' end as kind,
-        case when event_id % 31 in (6, 7) then 'app.bsky.graph.block'
+        case when event_id % 31 in (6, 7) then '{OTHER_COLLECTION}'
              when event_id % 31 in (10, 17) then 'unknown'
-             when event_type = 'click' then 'app.bsky.feed.like'
-             when event_type = 'signup' then 'app.bsky.graph.follow'
-             else 'app.bsky.feed.post' end as collection,
+             when event_type = 'click' then '{C.COLLECTION_LIKE}'
+             when event_type = 'signup' then '{C.COLLECTION_FOLLOW}'
+             else '{C.COLLECTION_POST}' end as collection,
         regexp_extract(props, '([0-9]+)', 1) as subject,
         case when event_id % 31 = 11 then date_trunc('millisecond', ts) else ts end as created_at
       from events) a) b
@@ -241,7 +244,7 @@ def all_oracles() -> dict[str, str]:
             select did, rkey, cid, created_at, subject as subject_uri, 'c' || subject as subject_cid,
             kafka_partition, kafka_offset, {_NOW} as ingest_ts from flat where error is null""",
         "validate_flat_follows": f"""{_flat('subject_did', "where event_type = 'signup'")}
-            select 'bsky.follows.v1' as intended_topic, error, count(*) as records
+            select '{C.TOPIC_FOLLOW}' as intended_topic, error, count(*) as records
             from flat where error is not null group by error""",
         "canonical_json": """select event_id,
             '{"a":{"b":["x",null],"k":' || event_id || '},"z":1}' as payload from events""",
