@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmarts.llm import host_reputation, poisson_mix, window_packing
+from eventmarts.llm import host_reputation, nra_topk, poisson_mix, simhash_vp, window_packing
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_simhash_vp": simhash_vp.query,
+        "op3_nra_topk": nra_topk.query,
         "op4_url_reputation": host_reputation.query,
         "op6_window_packing": window_packing.query,
         "op9_poisson_mix": poisson_mix.query,
@@ -19,6 +21,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op3_nra_topk": nra_topk.ORACLE,
         "op4_url_reputation": host_reputation.ORACLE,
         "op9_poisson_mix": poisson_mix.ORACLE,
     }
