@@ -38,19 +38,9 @@ INNER_STEP = 256
 #: Tokens that are packed at a time, and sequences of each block that are packed again with the next.
 BLOCK = 1 << 20
 KEEP_OPEN = 8
-#: Ids of words that a task remembers before it starts anew, and the longest of the words.
-CACHE_TOKENS = 4_000_000
-CACHE_CHARS = 64
-#: Texts that are encoded together.
-DOCS = 256
 SEQUENCE_BITS = 40
 
-_WORD_START = re.compile(r"(?<=\S) (?=\S)")
-#: A text with none of these has single spaces or lines between its words only.
-_ODD_SPACE = ("  ", "\n ", " \n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
-#: Marks the first piece of a text, which has no space before it.
-_FIRST = " "
-_SENTENCE_END = re.compile(r"[.!?]['\")\]]*$")
+_FULL_STOP = re.compile(rb"[.!?]+['\")\]]*")
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -58,97 +48,49 @@ SCHEMA = (
 )
 
 
-class WordEncoder:
-    """Token ids and sentence ends of texts, with the ids of frequent words remembered.
+class Encoder:
+    """Token ids and sentence ends of texts, by the byte-pair vocabulary of a tokenizer file.
 
-    The tokenizer splits at a single space between two other characters, and keeps the space with
-    what follows; so ids of a text are those of its pieces, cut before such spaces.
+    The file's ids are the ranks of its merges, so the faster of the two libraries that read such
+    vocabularies gives the ids that the file's own library gives; a test holds them together.
     """
 
     def __init__(self, path: str):
+        import tiktoken
+        from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words = self.tokens = 0
-        self.flat = np.empty(1 << 16, np.uint32)  # ids of all pieces, one after the other
-        self.meta = np.empty((1 << 14, 3), np.int64)  # of each piece: start in flat, length, sentence end or 0
-
-    def _learn(self, keys: list[str]) -> None:
-        """Remembers the ids of new pieces; those with a space before them are encoded in one text."""
-        inner = [k for k in keys if k and not k[0].isspace() and not k[-1].isspace()]
-        self._add(inner, self.tokenizer.encode(" " + " ".join(inner), add_special_tokens=False))
-        for key in set(keys).difference(inner):
-            text = key[len(_FIRST) :] if key.startswith(_FIRST) else " " + key
-            self._add([key], self.tokenizer.encode(text, add_special_tokens=False))
-
-    def _add(self, keys: list[str], found) -> None:
-        """``found`` is the encoding of the keys, each with one character before it."""
-        first = 0 if len(keys) == 1 and keys[0].startswith(_FIRST) else 1
-        sizes = np.array([len(k) + first for k in keys], np.int64) - (1 - first) * len(_FIRST)
-        ends = np.cumsum(sizes)
-        begins = ends - sizes
-        ids = np.array(found.ids, np.uint32)
-        at = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-        upto = np.searchsorted(at, ends, "left")
-        came = np.append(0, upto[:-1]) if len(upto) else upto
-        if self.tokens + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), np.uint32)])
-        while self.words + len(keys) > len(self.meta):
-            self.meta = np.concatenate([self.meta, np.empty_like(self.meta)])
-        self.flat[self.tokens : self.tokens + len(ids)] = ids
-        sentence = np.zeros(len(keys), np.int64)
-        for i, key in enumerate(keys):
-            line = key.rfind("\n") + 1
-            if line == len(key) or _SENTENCE_END.search(key):
-                sentence[i] = upto[i] - came[i]
-            elif line and not key[line].isspace():
-                after = begins[i] + sizes[i] - (len(key) - line)
-                sentence[i] = np.searchsorted(at[came[i] : upto[i]], after, "left")
-        self.meta[self.words : self.words + len(keys)] = np.stack([self.tokens + came, upto - came, sentence], 1)
-        self.number.update(zip(keys, range(self.words, self.words + len(keys)), strict=True))
-        self.tokens += len(ids)
-        self.words += len(keys)
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Of each text its ids, and the positions in it (in ids) after which a sentence ends."""
-        if self.tokens > CACHE_TOKENS:
-            self.forget()
-        split, numbers, missing = [], [], {}
-        for text in texts:
-            plain = not any(odd in text for odd in _ODD_SPACE) and text[:1] != " " and text[-1:] != " "
-            words = text.split(" ") if plain else _WORD_START.split(text)
-            words[0] = _FIRST + words[0]
-            number = list(map(self.number.get, words))
-            if None in number:
-                missing.update((w, None) for w, n in zip(words, number, strict=True) if n is None)
-                number = None
-            split.append(words)
-            numbers.append(number)
-        if missing:
-            self._learn(list(missing))
-        for text, words, number in zip(texts, split, numbers, strict=True):
-            if not text:
-                yield np.empty(0, np.uint32), np.empty(0, np.int64)
-                continue
-            number = number or list(map(self.number.__getitem__, words))
-            starts, lengths, ends = self.meta[number].T
-            upto = np.cumsum(lengths)
-            ids = self.flat[np.repeat(starts - (upto - lengths), lengths) + np.arange(upto[-1])]
-            yield ids, (upto - lengths + ends)[ends > 0]
-        for key in missing:
-            if len(key) > CACHE_CHARS:
-                del self.number[key]
+        tokenizer = Tokenizer.from_file(path)
+        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in t): i for t, i in tokenizer.get_vocab().items() if t not in special}
+        self.encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        size = max(ranks.values()) + 1
+        self.line_end, self.full_stop, self.space_first = np.zeros((3, size), bool)
+        for token, i in ranks.items():
+            self.line_end[i] = token.endswith(b"\n")
+            self.full_stop[i] = _FULL_STOP.fullmatch(token) is not None
+            self.space_first[i] = token[:1].isspace()
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text, and the positions in it (in ids) after which a sentence ends."""
+        ids = np.array(self.encoding.encode_ordinary(text), np.uint32)
+        ends = self.line_end[ids]
+        ends[:-1] |= self.full_stop[ids[:-1]] & self.space_first[ids[1:]]
+        return ids, np.flatnonzero(ends) + 1
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if it can be printed."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {chr(b): b for b in printed} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
 @cache
-def encoder_of(path: str) -> WordEncoder:
-    """One encoder for all tasks of a Python worker, so that words are learned once."""
-    return WordEncoder(path)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def cut_points(n: int, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,11 +219,9 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS):
-                doc_ids, texts = (column.to_pylist() for column in batch.slice(at, DOCS).columns)
-                encoded = encoder.encode([text or "" for text in texts])
-                for doc_id, (ids, ends) in zip(doc_ids, encoded, strict=True):
-                    yield from out(packer.add(doc_id, np.append(ids, end), ends))
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids, ends = encoder.encode(text.as_py() or "")
+                yield from out(packer.add(doc_id, np.append(ids, end), ends))
         yield from out(packer.finish())
 
     names = [part.split()[0] for part in SCHEMA.split(", ")]
