@@ -41,3 +41,8 @@ def small_side(df: DataFrame, row_bytes: int, limit_bytes: int = 32 << 20) -> Da
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

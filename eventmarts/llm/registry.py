@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmarts.llm import host_reputation, nra_topk, poisson_mix, simhash_vp, window_packing
+from eventmarts.llm import (
+    decision_list,
+    host_reputation,
+    license_diagonals,
+    nra_topk,
+    poisson_mix,
+    simhash_vp,
+    window_packing,
+)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +23,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_nra_topk": nra_topk.query,
         "op4_url_reputation": host_reputation.query,
         "op6_window_packing": window_packing.query,
+        "op7_decision_list": decision_list.query,
+        "op8_license_diagonals": license_diagonals.query,
         "op9_poisson_mix": poisson_mix.query,
     }
 
