@@ -12,16 +12,20 @@ from eventmarts.llm import (
     license_diagonals,
     nra_topk,
     poisson_mix,
+    secret_forest,
     simhash_vp,
+    weak_quality,
     window_packing,
 )
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_forest": secret_forest.query,
         "op2_simhash_vp": simhash_vp.query,
         "op3_nra_topk": nra_topk.query,
         "op4_url_reputation": host_reputation.query,
+        "op5_weak_quality": weak_quality.query,
         "op6_window_packing": window_packing.query,
         "op7_decision_list": decision_list.query,
         "op8_license_diagonals": license_diagonals.query,
