@@ -14,6 +14,7 @@ from eventmarts.llm import (
     poisson_mix,
     secret_forest,
     simhash_vp,
+    suffix_dedup,
     weak_quality,
     window_packing,
 )
@@ -30,6 +31,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decision_list": decision_list.query,
         "op8_license_diagonals": license_diagonals.query,
         "op9_poisson_mix": poisson_mix.query,
+        "op10_suffix_dedup": suffix_dedup.query,
     }
 
 
