@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
+from zlib import compress, crc32
 
 import numpy as np
 import pyarrow as pa
@@ -61,8 +61,11 @@ def statistics(text: bytes, words: list[bytes], distinct: set[bytes]) -> dict[st
     lines = [x for x in text.split(b"\n") if x.strip()]
     return {
         "words": len(words),
+        "chars": len(text),
         "distinct": len(distinct) / n,
         "stutter": sum(map(bytes.__eq__, words, words[1:])) / n,
+        "pairs": len(set(zip(words, words[1:], strict=False))) / n,
+        "packed": len(compress(text, 1)) / chars,
         "lines": len(set(lines)) / max(1, len(lines)),
         "small": sum(map(SMALL_WORDS.__contains__, words)) / n,
         "symbols": _count(text, _SYMBOLS) / n,
@@ -91,6 +94,8 @@ def votes_of(s: dict[str, float]) -> tuple[int, ...]:
         _between(s["bars"] > 0.1, s["bars"] == 0 and n >= 20),
         _between(n >= 10 and s["distinct"] < 0.4, n >= 10 and s["distinct"] > 0.5),
         _between(n >= 10 and s["stutter"] > 0.2, n >= 10 and s["stutter"] < 0.05),
+        _between(n >= 20 and s["pairs"] < 0.6, n >= 20 and s["pairs"] > 0.8),
+        _between(s["chars"] >= 300 and s["packed"] < 0.2, s["chars"] >= 300 and s["packed"] > 0.3),
         _between(n >= 10 and s["lines"] < 0.6, n >= 20 and s["lines"] > 0.9),
         _between(n >= 10 and s["capitals"] > 0.3, n >= 10 and s["capitals"] < 0.1),
         _between(n >= 5 and s["marks"] > 0.3, n >= 5 and s["marks"] < 0.05),
