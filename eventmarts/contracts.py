@@ -184,7 +184,9 @@ def schema_mismatches(df: DataFrame, contract: T.StructType) -> list[str]:
 
 
 def contract_report(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """One row per declared column: position, whether name and type match, null rows, verdict.
+    """One row per declared or extra column: position, whether name and type match, null rows, verdict.
+
+    A column that the contract does not declare, or that stands beyond its last, is never ok.
 
     Files hand every column back as nullable, so a required column is proved by counting
     its nulls.  All counts come from a single pass.
@@ -195,14 +197,16 @@ def contract_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     for i, f in enumerate(contract.fields):
         same = i < len(found) and found[i] == (f.name, f.dataType.simpleString())
         rows.append((i + 1, f.name, bool(same), not f.nullable))
+    names = set(contract.names)
+    rows += [(i + 1, n, False, False) for i, (n, _) in enumerate(found) if n not in names]
     declared = spark.createDataFrame(
         rows, "position int, column_name string, shape_ok boolean, required boolean"
     )
-    present = [f.name for f in contract.fields if f.name in df.columns]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    nulls = counts.unpivot([], present, "column_name", "null_rows") if present else None
-    if nulls is None:
-        return declared.select("*", F.lit(None).cast("bigint").alias("null_rows"))
+    if not df.columns:
+        nulls = spark.createDataFrame([], "column_name string, null_rows bigint")
+    else:
+        counts = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+        nulls = counts.unpivot([], [f"`{c}`" for c in df.columns], "column_name", "null_rows")
     # Both sides hold one row per declared column, so the join is of a fixed, tiny size.
     return (
         declared.join(F.broadcast(nulls), "column_name", "left")

@@ -41,7 +41,7 @@ def newer_than(rows: DataFrame, mark: datetime | int | None, column: str = "inge
     """Rows strictly above the mark; all rows when there is no mark.
 
     The mark goes in as a literal so the comparison is pushed to the file statistics.  If the
-    table is laid out by ingest day, whole days below the mark are never listed.
+    table is laid out by ingest day, the files of whole days below the mark are never opened.
     """
     if mark is None:
         return rows
@@ -68,22 +68,27 @@ def latest_in_window(
     start: date | None,
     version: Sequence[str] = ("ingest_ts", "kafka_partition", "kafka_offset", "cid"),
     created: str = "created_at",
+    until: datetime | None = None,
 ) -> DataFrame:
     """``in_window(latest_per_key(rows), start)`` without deduplicating all of history.
 
     A row outside the window matters only if it replaces one inside, so only if its version
     is at least the lowest version inside the window.  Everything else cannot change the
-    answer and is left out by a filter on two plain columns.
+    answer and is left out by a filter on two plain columns.  With ``until`` the window ends
+    there; one old row dated far ahead then doesn't bring all of history back.
     """
+
+    def inside(some: DataFrame) -> DataFrame:
+        some = in_window(some, start, created)
+        return some if until is None else some.where(F.col(created) <= _constant(rows, created, until))
+
     if start is None:
-        return latest_per_key(rows, version)
-    lowest = _one(in_window(rows, start, created), F.min(version[0]), version[0])
-    since = F.col(created) >= _constant(rows, created, start)
+        return inside(latest_per_key(rows, version))
+    lowest = _one(inside(rows), F.min(version[0]), version[0])
     if lowest is None:
-        return rows.where(since)
+        return inside(rows)
+    since = F.col(created) >= _constant(rows, created, start)
+    if until is not None:
+        since = since & (F.col(created) <= _constant(rows, created, until))
     wanted = rows.where(since | (F.col(version[0]) >= _constant(rows, version[0], lowest)))
-    if {"created_day", "ingest_day"} <= set(rows.columns):
-        wanted = wanted.where(
-            (F.col("created_day") >= F.lit(start)) | (F.col("ingest_day") >= F.lit(lowest.date()))
-        )
-    return in_window(latest_per_key(wanted, version), start, created)
+    return inside(latest_per_key(wanted, version))

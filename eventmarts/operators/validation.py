@@ -12,6 +12,7 @@ from eventmarts.contracts import ERROR_EMPTY_PAYLOAD, EventType
 from eventmarts.functions import json_fields as J
 from eventmarts.functions import times
 
+
 def _breaches(event: EventType) -> list[tuple[Column, Column]]:
     """Conditions that break the contract, each with its name: the field is ``missing:``, has
     the wrong ``type:``, or is an ``extra:`` one."""

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmarts.contracts import COLLECTION_FOLLOW, COLLECTION_LIKE, COLLECTION_POST
-from eventmarts.sources.tables import spread
 
 OTHER_COLLECTION = "example.other.record"  # a collection nobody subscribes to
 
@@ -170,7 +169,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = _object(did, time_us, _member("kind", _quoted(kind)), commit)
     broken = F.when(slot == 10, F.lit('{"did":"broken')).otherwise(line)
-    return spread(table(spark, sf_dir, "events")).select("event_id", broken.alias("value"))
+    return table(spark, sf_dir, "events").select("event_id", broken.alias("value"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,10 +190,16 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("commit").alias("kind"),
         commit.alias("commit"),
     )
-    documents = spread(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", F.to_json(event).alias("value"))
 
 
+def as_records(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Flat topic records of archived rows, ``payload, kafka_partition, kafka_offset``."""
+    members = [iso(F.col(c)).alias(c) if c == "created_at" else F.col(c) for c in columns]
+    return rows.select(F.to_json(F.struct(*members)).alias("payload"), "kafka_partition", "kafka_offset")
+
+
 def topic_records(spark: SparkSession, sf_dir: str, event_name: str) -> DataFrame:
     """Flat topic records without defects, ``payload, kafka_partition, kafka_offset``."""
     members = [
@@ -203,7 +208,7 @@ def topic_records(spark: SparkSession, sf_dir: str, event_name: str) -> DataFram
         _member("cid", _quoted(F.col("cid"))),
         _member("created_at", _quoted(iso(F.col("created_at")))),
     ]
-    rows = spread(archived(spark, sf_dir))
+    rows = archived(spark, sf_dir)
     if event_name == "post":
         members += [
             _member("text", _quoted(F.col("text"))),

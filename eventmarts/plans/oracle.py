@@ -123,6 +123,21 @@ def _check(
 _NOW = "timestamp '2024-01-31 12:00:00'"
 _HALF = "timestamp '2024-01-15 12:00:00'"
 
+
+def _chained(kind: str) -> str:
+    """The newest version of every record that the router lets through."""
+    return f"""with {_ROUTED}, d as (
+      select * exclude (r) from (
+        select cast(user_id as varchar) as did, created_at, subject,
+          case when s in (3, 24) then cast([] as varchar[]) else case event_id % 4
+            when 0 then cast([] as varchar[]) when 1 then ['en'] when 2 then ['en', 'ja']
+            else ['en', 'en'] end end as langs,
+          row_number() over (partition by user_id, event_id % 97
+            order by epoch_us(ts) desc, cast(event_id as varchar) desc) as r
+        from routed where route = 'valid' and kind = '{kind}') q
+      where r = 1)"""
+
+
 # The line of a dead letter as compact JSON with sorted keys.
 _PAYLOAD = """
   case when s = 10 then '{"did":"broken' else
@@ -163,7 +178,7 @@ def all_oracles() -> dict[str, str]:
     likes = f"with {_ARCHIVED}, {_latest('archived', 'd', 'event_type = ' + repr('click'))}"
     follows = f"with {_ARCHIVED}, {_latest('archived', 'd', 'event_type = ' + repr('signup'))}"
     late = f"with {_ARCHIVED}, {_LATE}, {_latest('late', 'full_d')}"
-    return {
+    twins = {
         "dedup_latest": f"{_D} select {dedup_columns}, {_TAGS} as langs from d",
         "dedup_unversioned": f"""with {_ARCHIVED},
             runs as (select cast(created_at as date) as day, text as tag, kafka_offset % 3 as run_seq,
@@ -188,6 +203,8 @@ def all_oracles() -> dict[str, str]:
         "mart_rollup": f"{_D} select cast(sum(posts) as bigint) as posts from ({_by_lang('d')}) m",
         "mart_rewindow": f"""{late} select * from ({_by_lang('full_d')}) m
             where day >= date '2024-01-26'""",
+        "mart_rewindow_clamped": f"""{late}, kept as (select * from full_d where created_at <= {_NOW})
+            select * from ({_by_lang('kept')}) m where day >= date '2024-01-26'""",
         "mart_incremental_upsert": f"""{late},
             {_latest('late', 'half_d', 'ingest_ts <= ' + _HALF)},
             half as ({_by_lang('half_d')}), full_m as ({_by_lang('full_d')}),
@@ -342,7 +359,12 @@ def all_oracles() -> dict[str, str]:
         "stream_minutes": """select date_trunc('minute', ts) as time, count(*) as posts
             from events group by 1""",
         "stream_dedup": """select cast(user_id as varchar) as did, cast(event_id as varchar) as rkey,
-            ts as created_at, event_type as text from events""",
+            ts + case when event_id % 97 = 0 then interval 9 year when event_id % 89 = 0
+              then interval (-9) year else interval 0 year end as created_at,
+            event_type as text from events""",
+        "chain_posts": f"{_chained('post')} {_by_lang('d')}",
+        "chain_likes": f"{_chained('like')} {_by_subject('d', 'subject_uri', 'likes', 'likers')}",
+        "chain_follows": f"{_chained('follow')} {_by_subject('d', 'subject_did', 'follows', 'followers')}",
         "vertical_posts": f"{_D} {_by_lang('d')}",
         "vertical_likes": f"{likes} {_by_subject('d', 'subject_uri', 'likes', 'likers')}",
         "vertical_follows": f"{follows} {_by_subject('d', 'subject_did', 'follows', 'followers')}",
@@ -362,3 +384,6 @@ def all_oracles() -> dict[str, str]:
               (select n from days where day = (select max(day) from days)) >= 0.25 *
               (select avg(n) from days where day < (select max(day) from days)), false""",
     }
+    twins["chain_bronze"] = twins["project_posts"]
+    twins["vertical_incremental"] = twins["mart_incremental_upsert"]
+    return twins

@@ -144,13 +144,21 @@ def mart_rewindow(spark, sf_dir):
     return marts.posts_by_lang(incremental.latest_in_window(rows, start))
 
 
+@query
+def mart_rewindow_clamped(spark, sf_dir):
+    """The same with rows dated after now left out of the window."""
+    rows = views.archived_late(spark, sf_dir)
+    start = incremental.rewindow_start(RECENT)
+    return marts.posts_by_lang(incremental.latest_in_window(rows, start, until=NOW))
+
+
 @query
 def mart_incremental_upsert(spark, sf_dir):
     """Build from the first half, then recompute the trailing days from everything."""
     path = shared_dir(spark, "mart")
     rows = views.archived_late(spark, sf_dir)
     for arrived in (rows.where(F.col("ingest_ts") <= times.instant(HALFWAY, "timestamp_ntz")), rows):
-        latest_day = incremental.high_water(tables.read_mart(spark, path, C.POST.mart), "day")
+        latest_day = incremental.high_water(tables.read_mart(spark, path, C.POST.mart, missing_ok=True), "day")
         start = incremental.rewindow_start(latest_day)
         recomputed = marts.posts_by_lang(incremental.latest_in_window(arrived, start))
         tables.replace_days(recomputed, path, start, C.POST.mart)
@@ -510,13 +518,24 @@ def schema_contract(spark, sf_dir):
 
 
 def _topic(spark: SparkSession, sf_dir: str, root: str, event: C.EventType, flat=None) -> str:
-    """The event type's records written as a topic folder of several files."""
+    """The event type's records written as a topic folder."""
     path = f"{root}/topic/{event.name}"
     records = views.topic_records(spark, sf_dir, event.name) if flat is None else flat
-    records.repartition(8).write.parquet(path)
+    return _in_two(records, F.col("kafka_offset") % 2 == 0, path)
+
+
+def _in_two(rows: DataFrame, first: Column, path: str) -> str:
+    """Written as two appends, so that a stream over the folder has more than one batch to take."""
+    rows.where(first).write.parquet(path)
+    rows.where(~first).write.mode("append").parquet(path)
     return path
 
 
+def _half(spark: SparkSession, path: str) -> int:
+    """Files in about half of a folder, for a stream of two batches at any size."""
+    return max(1, len(spark.read.parquet(path).inputFiles()) // 2)
+
+
 @query
 def stream_archive(spark, sf_dir):
     """Topic to bronze on a stream, then a second run that finds nothing new."""
@@ -524,7 +543,7 @@ def stream_archive(spark, sf_dir):
     path = _topic(spark, sf_dir, root, C.POST)
     for _ in range(2):
         archive.archive_stream(
-            topics.stream_topic(spark, path, max_files=4),
+            topics.stream_topic(spark, path, max_files=_half(spark, path)),
             C.POST,
             f"{root}/bronze",
             f"{root}/dlq",
@@ -544,7 +563,7 @@ def stream_dlq_split(spark, sf_dir):
     flat = views.flat_records(spark, sf_dir, "post")
     path = _topic(spark, sf_dir, root, C.POST, flat)
     archive.archive_stream(
-        topics.stream_topic(spark, path, max_files=4),
+        topics.stream_topic(spark, path, max_files=_half(spark, path)),
         C.POST,
         f"{root}/bronze",
         f"{root}/dlq",
@@ -581,37 +600,82 @@ def rerun_noop(spark, sf_dir):
     )
 
 
-@query
-def stream_ingest(spark, sf_dir):
-    """Raw lines routed on a stream; counters as the stream stored them."""
-    root = shared_dir(spark, "ingest")
-    views.raw_lines(spark, sf_dir).select("value").repartition(4).write.text(f"{root}/raw")
+def _ingested(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Raw lines routed on a stream; the topics' folders."""
+    lines = views.raw_lines(spark, sf_dir)
+    for part in (0, 1):
+        lines.where(F.col("event_id") % 2 == part).select("value").write.mode("append").text(f"{root}/raw")
+    paths = {name: f"{root}/topics/{name}" for name in C.EVENT_TYPES}
+    files = len(spark.read.text(f"{root}/raw").inputFiles())
     ingest.ingest_stream(
-        raw.stream_lines(spark, f"{root}/raw", max_files=2),
-        {name: f"{root}/topics/{name}" for name in C.EVENT_TYPES},
+        raw.stream_lines(spark, f"{root}/raw", max_files=max(1, files // 2)),
+        paths,
         f"{root}/dlq",
         f"{root}/counters",
         f"{root}/checkpoint",
     ).awaitTermination()
+    return paths
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Raw lines routed on a stream; counters as the stream stored them."""
+    root = shared_dir(spark, "ingest")
+    _ingested(spark, sf_dir, root)
     counters = spark.read.parquet(f"{root}/counters")
     return counters.groupBy("route", "label").agg(F.sum("events").alias("events"))
 
 
+@query
+def chain_bronze(spark, sf_dir):
+    """Raw lines through the router's topic to bronze, every stored value with its microseconds."""
+    root = shared_dir(spark, "chain")
+    path = _ingested(spark, sf_dir, root)["post"]
+    archive.archive_stream(
+        topics.stream_topic(spark, path), C.POST, f"{root}/bronze", f"{root}/dead", f"{root}/archived"
+    ).awaitTermination()
+    bronze = tables.read_archived(spark, f"{root}/bronze", C.POST.bronze)
+    return bronze.select(
+        "did", "rkey", "cid", _plain("created_at"), "text", _tags(), "reply_parent", "reply_root",
+        F.col("kafka_offset").alias("cursor"),
+    )
+
+
+def _chain(spark: SparkSession, sf_dir: str, event: C.EventType) -> DataFrame:
+    root = shared_dir(spark, "chain")
+    path = _ingested(spark, sf_dir, root)[event.name]
+    paths = vertical.Paths(f"{root}/tables")
+    # The event's own cursor is its arrival time, so that the winner among versions is known.
+    arrived = F.timestamp_micros("kafka_offset")
+    topic = topics.stream_topic(spark, path)
+    vertical.run_vertical(spark, event, topic, paths, NOW, ingest_ts=arrived)
+    return tables.read_mart(spark, paths.table("mart", event), event.mart)
+
+
+@query
+def chain_posts(spark, sf_dir):
+    """Raw lines to the daily mart: ingest, archive, landing, staging, gates, mart."""
+    return _chain(spark, sf_dir, C.POST)
+
+
+@query
+def chain_likes(spark, sf_dir):
+    return _chain(spark, sf_dir, C.LIKE)
+
+
+@query
+def chain_follows(spark, sf_dir):
+    return _chain(spark, sf_dir, C.FOLLOW)
+
+
 @query
 def realtime_mart(spark, sf_dir):
-    """Topic straight to the versioned table, read through its deduplicated view."""
+    """A payload topic straight to the versioned table, read through its deduplicated view."""
     root = shared_dir(spark, "realtime")
-    rows = views.archived(spark, sf_dir).select(
-        "did", "rkey", "cid",
-        F.unix_micros(F.col("created_at").cast("timestamp")).alias("created_at"),
-        "text", "langs",
-        F.lit(None).cast("string").alias("reply_parent"),
-        F.lit(None).cast("string").alias("reply_root"),
-        "kafka_partition", "kafka_offset",
-    )
-    rows.repartition(2, "kafka_partition").write.parquet(f"{root}/topic")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
-    realtime.realtime_stream(stream, f"{root}/mart", f"{root}/checkpoint").awaitTermination()
+    path = f"{root}/topic"
+    views.topic_records(spark, sf_dir, "post").write.parquet(path)
+    posts = realtime.typed_posts(topics.stream_topic(spark, path))
+    realtime.realtime_stream(posts, f"{root}/mart", f"{root}/checkpoint").awaitTermination()
     return realtime.realtime_latest(spark, f"{root}/mart").select(
         "did", "rkey", "cid", _plain("created_at"), "text", _tags()
     )
@@ -619,50 +683,37 @@ def realtime_mart(spark, sf_dir):
 
 @query
 def stream_minutes(spark, sf_dir):
-    """One-minute windows counted on a stream in complete mode."""
+    """One-minute windows counted on a stream of several batches."""
     root = shared_dir(spark, "minutes")
-    events = (
-        spark.readStream.schema(views.table(spark, sf_dir, "events").schema)
-        .parquet(f"{sf_dir}/events.parque[t]")
-        .select(F.col("ts").cast("timestamp").alias("created_at"))
-    )
-
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.write_unit(batch, f"{root}/minutes", "batch", f"{batch_id:012d}")
-
-    (
-        realtime.minute_counts(events)
-        .writeStream.outputMode("complete")
-        .foreachBatch(each_batch)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    written = spark.read.parquet(f"{root}/minutes")
-    last = written.agg(F.max("batch")).scalar()
-    return written.where(F.col("batch") == last).select(_plain("time"), "posts")
+    events = views.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("created_at"), "event_id")
+    path = _in_two(events, F.col("event_id") % 2 == 0, f"{root}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _half(spark, path)).parquet(path)
+    realtime.minute_stream(stream, f"{root}/minutes", f"{root}/checkpoint").awaitTermination()
+    return realtime.minute_counts(spark, f"{root}/minutes").select(_plain("time"), "posts")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Every event delivered twice on a stream; replays dropped as they come."""
+    """Every event delivered twice, some dated far ahead or far back; replays dropped as they come."""
     root = shared_dir(spark, "dedup")
+    number = F.col("kafka_offset")
+    far = F.when(number % 97 == 0, F.expr("interval 9 years")).when(number % 89 == 0, F.expr("interval -9 years"))
     rows = views.archived(spark, sf_dir).select(
         "did",
         F.col("cid").alias("rkey"),
-        F.col("created_at").cast("timestamp").alias("created_at"),
+        (F.col("created_at") + F.coalesce(far, F.expr("interval 0 years"))).cast("timestamp").alias("created_at"),
         F.col("text"),
+        number.alias("number"),
     )
-    rows.unionByName(rows).repartition(4).write.parquet(f"{root}/topic")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/topic")
+    path = f"{root}/topic"
+    for part in (0, 1, 2, 3):  # each half of the events, then each again
+        rows.where(F.col("number") % 2 == part % 2).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _half(spark, path)).parquet(path)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         tables.write_unit(batch, f"{root}/out", "batch", batches.batch_key(batch, batch_id))
 
-    batches.start(
-        realtime.first_seen(stream, "60 days"), each_batch, f"{root}/checkpoint"
-    ).awaitTermination()
+    batches.start(realtime.first_seen(stream), each_batch, f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out").select("did", "rkey", _plain("created_at"), "text")
 
 
@@ -692,6 +743,21 @@ def vertical_follows(spark, sf_dir):
     return _vertical(spark, sf_dir, C.FOLLOW)
 
 
+@query
+def vertical_incremental(spark, sf_dir):
+    """The vertical over the first half, over the rest with its late rows, and over nothing new."""
+    root = shared_dir(spark, "vertical")
+    paths = vertical.Paths(f"{root}/tables")
+    rows = views.archived_late(spark, sf_dir)
+    early = F.col("ingest_ts") <= times.instant(HALFWAY, "timestamp_ntz")
+    for part in (early, ~early, None):
+        if part is not None:
+            records = views.as_records(rows.where(part), ["did", "rkey", "cid", "created_at", "text", "langs"])
+            records.write.mode("append").parquet(f"{root}/topic")
+        vertical.run_vertical(spark, C.POST, topics.stream_topic(spark, f"{root}/topic"), paths, NOW)
+    return tables.read_mart(spark, paths.table("mart", C.POST), C.POST.mart)
+
+
 @query
 def vertical_checks(spark, sf_dir):
     """Verdicts of the gates of a whole run."""

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmarts.contracts import REWINDOW_DAYS, EventType
-from eventmarts.functions.times import from_micros, instant
+from eventmarts.functions.times import from_micros
 from eventmarts.operators import checks
 from eventmarts.operators.dedup import latest_per_key
 from eventmarts.operators.incremental import (
@@ -25,10 +25,10 @@ from eventmarts.session import configure
 from eventmarts.sources.cursors import CursorTable
 from eventmarts.sources.tables import (
     DAY_COLUMNS,
+    STORED_DAYS,
     read_archived,
     read_mart,
     replace_days,
-    with_day_columns,
     write_unit,
 )
 from eventmarts.streaming.archive import archive_stream
@@ -60,8 +60,10 @@ def _staged_shape(event: EventType) -> T.StructType:
     return T.StructType(event.staging.fields + position)
 
 
-def read_bronze(spark: SparkSession, paths: Paths, event: EventType) -> DataFrame:
-    return read_archived(spark, paths.table("bronze", event), event.bronze)
+def read_bronze(
+    spark: SparkSession, paths: Paths, event: EventType, missing_ok: bool = False
+) -> DataFrame:
+    return read_archived(spark, paths.table("bronze", event), event.bronze, missing_ok)
 
 
 def read_landing(spark: SparkSession, paths: Paths, event: EventType) -> DataFrame:
@@ -89,10 +91,13 @@ def load_newer(
 ) -> int:
     """Append the source rows above the saved mark, then save the new mark.
 
-    The new mark is the highest arrival time among the rows that were written.  The folder is named by the mark the load started from, so a load that died before saving
-    is overwritten by its retry.  A mark is saved only after its rows are written.
+    The new mark is the highest arrival time among the rows that were written.  Their folders
+    are named by the mark the load started from, so a load that died before saving is
+    overwritten by its retry.  A mark is saved only after its rows are written.  Marks are
+    arrival times, so the stream that writes the source must be stopped meanwhile: a batch
+    stamped before the mark and written after the load would never be loaded.
     """
-    saved = state.load(name)
+    saved = state.highest(name)
     fresh = newer_than(source, from_micros(saved))
     top = F.max(F.unix_micros(F.col("ingest_ts").cast("timestamp")))
     seen = write_unit(fresh, path, "load", str(saved or 0), DAY_COLUMNS, block_rows, top=top)
@@ -112,18 +117,32 @@ def refresh_mart(
 
     Late rows older than the window stay out, as the window is what is recomputed; pass
     ``rewindow_days=None`` to rebuild everything.  ``max_event_time`` leaves out rows dated
-    after it, whose clock is the client's.
+    after it, whose clock is the client's, and days after it do not move the window, so a day
+    dated ahead that is in the mart already cannot freeze it.
     """
     target = paths.table("mart", event)
-    latest_day = high_water(read_mart(spark, target, event.mart), "day")
-    start = None if rewindow_days is None else rewindow_start(latest_day, rewindow_days)
+    start = mart_window(spark, paths, event, rewindow_days, max_event_time)
     versions = read_staged_versions(spark, paths, event)
-    rows = latest_in_window(versions, start, VERSION)
-    if max_event_time is not None:
-        rows = rows.where(F.col("created_at") <= instant(max_event_time))
+    rows = latest_in_window(versions, start, VERSION, until=max_event_time)
     replace_days(daily_mart(rows, event), target, start, event.mart)
 
 
+def mart_window(
+    spark: SparkSession,
+    paths: Paths,
+    event: EventType,
+    rewindow_days: int | None = REWINDOW_DAYS,
+    max_event_time: datetime | None = None,
+) -> date | None:
+    """First day that a refresh recomputes, None for all."""
+    if rewindow_days is None:
+        return None
+    mart = read_mart(spark, paths.table("mart", event), event.mart, missing_ok=True)
+    if max_event_time is not None:
+        mart = mart.where(F.col("day") <= F.lit(max_event_time.date()))
+    return rewindow_start(high_water(mart, "day"), rewindow_days)
+
+
 def run_vertical(
     spark: SparkSession,
     event: EventType,
@@ -134,6 +153,7 @@ def run_vertical(
     ingest_ts: Column | None = None,
     rewindow_days: int | None = REWINDOW_DAYS,
     landing_block_rows: int | None = None,
+    max_event_time: datetime | None = None,
 ) -> dict:
     """Archive, land, stage, gate, refresh the mart, gate again.
 
@@ -154,7 +174,7 @@ def run_vertical(
         summary=summary,
     ).awaitTermination()
 
-    bronze = read_bronze(spark, paths, event)
+    bronze = read_bronze(spark, paths, event, missing_ok=True)
     summary["bronze_total"] = bronze.count()
     summary["landed_this_run"] = load_newer(
         bronze,
@@ -166,7 +186,8 @@ def run_vertical(
     )
     landing = read_landing(spark, paths, event)
     summary["landing_total"] = landing.count()
-    stored = with_day_columns(landing.select(*_staged_shape(event).names))
+    # The days are kept, not computed again, so the mark prunes landing's folders.
+    stored = landing.select(*_staged_shape(event).names, *STORED_DAYS)
     summary["staged_this_run"] = load_newer(
         stored, paths.table("staging", event), state, f"staging-{event.name}", now
     )
@@ -183,10 +204,9 @@ def run_vertical(
     )
 
     mart_path = paths.table("mart", event)
-    before = high_water(read_mart(spark, mart_path, event.mart), "day")
-    refresh_mart(spark, paths, event, rewindow_days)
+    start = mart_window(spark, paths, event, rewindow_days, max_event_time)
+    refresh_mart(spark, paths, event, rewindow_days, max_event_time)
     mart = read_mart(spark, mart_path, event.mart)
-    start = None if rewindow_days is None else rewindow_start(before, rewindow_days)
     fresh = in_window(mart, start, "day")
     name = f"mart-{event.name}"
     results += checks.gate(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmarts.contracts import CURSORS
 from eventmarts.operators.progress import latest_cursors
+from eventmarts.sources.tables import exists
 
 
 class CursorTable:
@@ -19,7 +20,8 @@ class CursorTable:
         self._path = path
 
     def entries(self) -> DataFrame:
-        self._spark.createDataFrame([], CURSORS).write.mode("ignore").json(self._path)
+        if not exists(self._spark, self._path):
+            return self._spark.createDataFrame([], CURSORS)
         return self._spark.read.schema(CURSORS).json(self._path)
 
     def current(self) -> DataFrame:
@@ -31,6 +33,10 @@ class CursorTable:
         newest = ours.agg(F.max(F.struct("updated_at", "cursor")).alias("newest")).first()["newest"]
         return None if newest is None else newest["cursor"]
 
+    def highest(self, stream_name: str) -> int | None:
+        """Highest position ever saved: for marks that only grow, whatever the writers' clocks."""
+        return self.entries().where(F.col("stream_name") == stream_name).agg(F.max("cursor")).first()[0]
+
     def save(self, stream_name: str, cursor: int, updated_at: datetime) -> None:
         """Record a position.  Call only once the data up to it is written."""
         row = self._spark.createDataFrame([(stream_name, cursor, updated_at)], CURSORS)

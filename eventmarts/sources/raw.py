@@ -24,7 +24,7 @@ def stream_lines(
     path: str,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Lines of files as they arrive; the stream's checkpoint is the resume point.
 

@@ -11,22 +11,26 @@ from pyspark.sql import functions as F
 
 from eventmarts.contracts import TOPIC, EventType, avro_schema
 
+#: Bytes of files in one micro-batch, unless a caller bounds it otherwise.
+BATCH_BYTES = 64 << 30
+
 
 def stream_topic(
     spark: SparkSession,
     path: str,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = BATCH_BYTES,
 ) -> DataFrame:
     """Read a topic folder from its first record; the checkpoint holds the position.
 
-    ``max_files`` or ``max_bytes`` bounds one micro-batch.
+    ``max_files`` or ``max_bytes`` bounds one micro-batch, so a backlog is taken in bounded
+    batches and a batch that is held in memory has a known size.
     """
     reader = spark.readStream.schema(TOPIC)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes is not None:
+    elif max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path)
 

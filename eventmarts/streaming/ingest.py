@@ -13,13 +13,17 @@ from eventmarts.sources.tables import write_unit
 from eventmarts.streaming.batches import batch_key, start
 
 
+#: Event times leave with all their microseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def outgoing(routed: DataFrame, line: str = "value") -> DataFrame:
     """What leaves the router: one JSON payload per row, flat for a valid event, the original
     for a dead letter, none for a skipped line."""
     payload = F.when(F.col("route") == DEAD, raw_payload(line))
     for event in EVENT_TYPES.values():
         ours = (F.col("route") == VALID) & (F.col("event_type") == event.name)
-        payload = payload.when(ours, F.to_json(F.struct(*event.record.names)))
+        payload = payload.when(ours, F.to_json(F.struct(*event.record.names), _JSON))
     return routed.select(
         "route",
         "reason",
@@ -45,7 +49,8 @@ def ingest_stream(
 
     A topic record has its author's partition, and the event's cursor as its offset.  The
     offsets of a batch are committed by the checkpoint after all its writes; a batch
-    interrupted in between is repeated and overwrites its own parts.
+    interrupted in between is repeated; it overwrites its own unfinished parts and leaves
+    finished ones alone, which an archive may have read by then.
     """
     routed = outgoing(route_events(lines)).withColumn("received_at", F.current_timestamp())
 
@@ -56,15 +61,15 @@ def ingest_stream(
             for name, path in topics.items():
                 ours = (F.col("route") == VALID) & (F.col("event_type") == name)
                 topic = rows.where(ours).select("payload", "kafka_partition", "kafka_offset")
-                write_unit(topic, path, "batch", key)
+                write_unit(topic, path, "batch", key, once=True)
             dead = rows.where(F.col("route") == DEAD).select(
                 F.col("payload").alias("raw_payload"),
                 F.col("reason").alias("error"),
                 "intended_topic",
                 "received_at",
             )
-            write_unit(dead, dlq, "batch", key)
-            write_unit(ingest_counters(rows), counters, "batch", key)
+            write_unit(dead, dlq, "batch", key, once=True)
+            write_unit(ingest_counters(rows), counters, "batch", key, once=True)
         finally:
             rows.unpersist()
 

@@ -183,7 +183,7 @@ def test_blocking_check_stops_before_the_mart(spark, tmp_path):
     with pytest.raises(checks.CheckFailed, match="null_rate"):
         vertical_run(spark, root)
     paths = vertical.Paths(f"{root}/tables")
-    assert tables.read_mart(spark, paths.table("mart", C.POST), C.POST.mart).count() == 0
+    assert not tables.exists(spark, paths.table("mart", C.POST))
     # A corrected version of the record clears the check.
     put(spark, f"{root}/topic", [(3, record(2))])
     _, mart = vertical_run(spark, root)
@@ -300,20 +300,185 @@ def test_realtime_latest_version_wins_within_and_across_batches(spark, tmp_path)
     assert got["1"]["created_at"].microsecond == 1
 
 
-def test_minutes_in_append_mode_hold_back_the_open_ones(spark, tmp_path):
+def test_minutes_count_late_and_future_events(spark, tmp_path):
     root = str(tmp_path)
-    moments = spark.range(30).select(
-        (F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 60)).alias("created_at")
-    )
-    moments.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema("created_at timestamp").parquet(f"{root}/in")
+    stamps = [0, 60, 61, 10**9, -(10**9), 62]
+    for second in stamps:  # a batch each
+        spark.createDataFrame([(second,)], "s long").select(
+            F.timestamp_seconds(F.lit(1_704_067_200) + F.col("s")).alias("created_at")
+        ).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema("created_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    realtime.minute_stream(stream, f"{root}/out", f"{root}/cp").awaitTermination()
+    assert sorted(r["posts"] for r in realtime.minute_counts(spark, f"{root}/out").collect()) == [1, 1, 1, 3]
+
+
+def test_replays_are_dropped_and_nothing_else(spark, tmp_path):
+    root = str(tmp_path)
+    moments = {"a": "2024-01-01 00:00:00", "b": "2031-01-01 00:00:00", "c": "2024-01-01 00:01:00", "d": "1999-01-01 00:00:00"}
+    for key in "abcadb":  # a batch each; one is dated far ahead, one far back
+        spark.createDataFrame([("did", key, moments[key])], "did string, rkey string, t string").select(
+            "did", "rkey", F.to_timestamp("t").alias("created_at")
+        ).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    schema = "did string, rkey string, created_at timestamp"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
 
     def keep(batch, batch_id):
         tables.write_unit(batch, f"{root}/out", "batch", str(batch_id))
 
-    batches.start(realtime.minute_counts(stream), keep, f"{root}/cp").awaitTermination()
-    out = spark.read.parquet(f"{root}/out")
-    assert out.count() == 19 and out.agg(F.sum("posts")).first()[0] == 19
+    batches.start(realtime.first_seen(stream), keep, f"{root}/cp").awaitTermination()
+    assert sorted(r["rkey"] for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b", "c", "d"]
+
+
+def _lines(spark, root, numbers):
+    rows = [
+        json.dumps(
+            {
+                "did": f"did:{n}", "time_us": 1_704_067_200_000_000 + n, "kind": "commit",
+                "commit": {"operation": "create", "collection": C.COLLECTION_POST, "rkey": f"r{n}", "cid": f"c{n}",
+                           "record": {"createdAt": f"2024-01-01T00:00:00.{123456 + n:06d}Z", "text": "t"}},
+            }
+        )
+        for n in numbers
+    ]
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("append").text(f"{root}/raw")
+
+
+def _ingest(spark, root):
+    return ingest.ingest_stream(
+        raw.stream_lines(spark, f"{root}/raw", max_files=1),
+        {name: f"{root}/topics/{name}" for name in C.EVENT_TYPES},
+        f"{root}/dead", f"{root}/counters", f"{root}/ingested",
+    )
+
+
+def _archive_ingested(spark, root):
+    archive.archive_stream(
+        topics.stream_topic(spark, f"{root}/topics/post"), C.POST, f"{root}/bronze", f"{root}/dlq", f"{root}/archived"
+    ).awaitTermination()
+    return bronze_of(spark, root)
+
+
+def test_retried_ingest_batch_is_not_archived_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    _lines(spark, root, range(8))
+    real = ingest.write_unit
+
+    def fail_at_the_counters(rows, path, *args, **kwargs):
+        if path.endswith("/counters"):
+            raise RuntimeError("driver lost")
+        return real(rows, path, *args, **kwargs)
+
+    monkeypatch.setattr(ingest, "write_unit", fail_at_the_counters)
+    with pytest.raises(Exception, match="driver lost"):
+        _ingest(spark, root).awaitTermination()
+    assert _archive_ingested(spark, root).count() == 8
+    monkeypatch.setattr(ingest, "write_unit", real)
+    _ingest(spark, root).awaitTermination()
+    bronze = _archive_ingested(spark, root)
+    assert bronze.count() == 8 and spark.read.parquet(f"{root}/counters").count() > 0
+    assert {r["created_at"].microsecond for r in bronze.collect()} == {123456 + n for n in range(8)}
+
+
+def test_missing_tables_raise_and_reading_writes_nothing(spark, tmp_path):
+    for read in (
+        lambda path: tables.read_mart(spark, path, C.POST.mart),
+        lambda path: tables.read_archived(spark, path, C.POST.bronze),
+    ):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+            read(f"{tmp_path}/nothing").count()
+    assert tables.read_mart(spark, f"{tmp_path}/nothing", C.POST.mart, missing_ok=True).count() == 0
+    assert CursorTable(spark, f"{tmp_path}/nothing").load("x") is None
+    assert not list(tmp_path.iterdir())
+
+
+def test_one_folder_per_day_and_few_files_per_batch(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, f"{root}/topic", [(i, record(i, created_at=f"2024-01-{1 + i % 28:02d}T00:00:00Z")) for i in range(56)])
+    run_archive(spark, root)
+    files = list((tmp_path / "bronze").rglob("*.parquet"))
+    assert len(files) == 1
+    assert [p.split("=")[0] for p in files[0].relative_to(tmp_path / "bronze").parts[:-1]] == ["ingest_day", "batch"]
+
+
+def test_staging_load_prunes_landing(spark, tmp_path):
+    from eventmarts.operators.incremental import newer_than
+
+    root = str(tmp_path)
+    put(spark, f"{root}/topic", [(1, record(1))])
+    vertical_run(spark, root)
+    landing = vertical.read_landing(spark, vertical.Paths(f"{root}/tables"), C.POST)
+    stored = landing.select(*vertical._staged_shape(C.POST).names, *tables.STORED_DAYS)
+    plan = newer_than(stored, NOW)._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_day" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_a_day_dated_ahead_does_not_freeze_the_mart(spark, tmp_path):
+    root = str(tmp_path)
+    paths = vertical.Paths(f"{root}/tables")
+
+    def run(**options):
+        topic = topics.stream_topic(spark, f"{root}/topic")
+        vertical.run_vertical(spark, C.POST, topic, paths, NOW, **options)
+        mart = tables.read_mart(spark, paths.table("mart", C.POST), C.POST.mart)
+        return {str(r["day"]): r["n"] for r in mart.groupBy("day").agg(F.sum("posts").alias("n")).collect()}
+
+    put(spark, f"{root}/topic", [(i, record(i, langs=["en"], created_at="2024-01-02T00:00:00Z")) for i in range(4)])
+    put(spark, f"{root}/topic", [(9, record(9, langs=["en"], created_at="2031-01-01T00:00:00Z"))])
+    assert run() == {"2024-01-02": 4, "2031-01-01": 1}
+    put(spark, f"{root}/topic", [(i, record(i, langs=["en"], created_at="2024-01-02T00:00:00Z")) for i in (10, 11)])
+    assert run()["2024-01-02"] == 4  # the window lies ahead
+    assert run(max_event_time=NOW)["2024-01-02"] == 6
+
+
+def test_clamped_window_reads_little_history(spark):
+    from eventmarts.operators.incremental import latest_in_window
+
+    rows = spark.range(200).select(
+        F.lit("d").alias("did"), F.col("id").cast("string").alias("rkey"), F.lit("c").alias("cid"),
+        F.when(F.col("id") == 0, F.lit(datetime(2031, 1, 1))).otherwise(
+            F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600)).alias("created_at"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 3600).alias("ingest_ts"),
+        F.lit(0).alias("kafka_partition"), F.col("id").alias("kafka_offset"),
+    )
+    start, until = datetime(2024, 1, 8).date(), datetime(2024, 1, 20, tzinfo=UTC)
+    got = latest_in_window(rows, start, until=until)
+    want = dedup.latest_per_key(rows).where((F.col("created_at") >= F.lit(start)) & (F.col("created_at") <= F.lit(until)))
+    assert sorted(r["kafka_offset"] for r in got.collect()) == sorted(r["kafka_offset"] for r in want.collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-01-08" in plan
+
+
+def test_running_stream_flushes_by_interval(spark, tmp_path):
+    import time
+
+    root = str(tmp_path)
+    put(spark, f"{root}/topic", [(i, record(i)) for i in range(3)])
+    query = archive.archive_stream(
+        topics.stream_topic(spark, f"{root}/topic", max_files=1), C.POST, f"{root}/bronze", f"{root}/dlq",
+        f"{root}/checkpoint", drain=False, every_seconds=0.5,
+    )
+    try:
+        put(spark, f"{root}/topic", [(i, record(i)) for i in range(10, 14)])
+        waited = time.time() + 60
+        while time.time() < waited and (
+            not tables.exists(spark, f"{root}/bronze") or bronze_of(spark, root).count() < 7
+        ):
+            time.sleep(0.5)
+        assert query.isActive
+    finally:
+        query.stop()
+    per_batch = spark.read.parquet(f"{root}/bronze").groupBy("batch").count()
+    assert sorted(r["count"] for r in per_batch.collect()) == [3, 4]
+
+
+def test_generations_follow_their_numbers(spark, tmp_path):
+    root = f"{tmp_path}/table"
+    state = CursorTable(spark, f"{tmp_path}/state")
+    rows = spark.createDataFrame([("a", "1", 1)], "did string, rkey string, v int")
+    compaction.compact(rows, root, state, NOW, ["v"])
+    second = compaction.compact(rows, root, state, NOW - timedelta(hours=1), ["v"])
+    assert compaction.current_generation(root, state) == second
+    assert compaction.compact(rows, root, state, NOW, ["v"]).endswith("generation=3")
 
 
 def test_compaction_switches_generations(spark, tmp_path):

@@ -145,6 +145,18 @@ def test_contract_shapes():
     assert set(C.POST.staging.names) == set(C.POST.bronze.names) - {"kafka_partition", "kafka_offset"}
 
 
+def test_contract_report_finds_extra_missing_and_misplaced_columns(spark):
+    fine = spark.createDataFrame([], C.LIKE.record)
+    assert all(r["ok"] for r in C.contract_report(fine, C.LIKE.record).collect())
+    extra = {r["column_name"]: r["ok"] for r in C.contract_report(fine.selectExpr("*", "1 as more"), C.LIKE.record).collect()}
+    assert not extra.pop("more") and all(extra.values())
+    swapped = fine.select("rkey", "did", *fine.columns[2:])
+    wrong = {r["column_name"] for r in C.contract_report(swapped, C.LIKE.record).collect() if not r["ok"]}
+    assert wrong == {"did", "rkey"}
+    other = C.contract_report(spark.range(3).toDF("zzz"), C.LIKE.record).collect()
+    assert not any(r["ok"] for r in other) and len(other) == len(C.LIKE.record.fields) + 1
+
+
 def test_contract_report_finds_nulls_and_wrong_shapes(spark):
     rows = spark.createDataFrame(
         [("a", None, "c", 1)], "did string, rkey string, cid string, created_at long"
