@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from eventmarts.llm.common import DOCUMENT_COLUMNS
 
 #: About so many documents, chosen by a hash, on which the scorer is trained.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 #: Hashed features; the scorer's weights are the only thing that tasks are sent.
 FEATURES = 1 << 16
 #: A document is kept if the scorer gives at least this chance that it is good.
