@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ MAX_RULES = 8
 MAX_LITERALS = 4
 BINS = 32
 #: Share of low-quality documents among those that a pruned rule covers, and the fewest it covers.
-LEAST_PRECISION = 0.95
+LEAST_PRECISION = 0.98
 LEAST_COVER = 5
 SYMBOLS = r"[#*$%&|<>]"
 #: Low bits of a packed window that hold its place; the rest are from its hash.
@@ -121,7 +122,8 @@ def ratios() -> dict[str, Column]:
         "symbols": F.col("n_symbols") / words,
         "dup_lines": F.col("n_dup_lines") / words,
         "repeated": F.col("n_repeat_words") / words,
-        "distinct": F.col("n_distinct") / words,
+        # Over the square root: a long text has a smaller share of distinct words, not a smaller one of these.
+        "variety": F.col("n_distinct") / F.sqrt(words),
         "capitals": F.col("n_capitals") / chars,
         "marks": F.col("n_marks") / words,
     }
@@ -222,7 +224,10 @@ def learn(statistics: DataFrame, labels: DataFrame) -> list[Rule]:
         values = part.select(*[v.alias(k) for k, v in ratios().items()])
         for name, found in zip(ratios(), values.approxQuantile(list(ratios()), shares, 0.005), strict=True):
             edges[name].update(found)
-    bounds = {name: sorted(found) for name, found in edges.items() if found}
+    # Half-way between neighbours, so that a bound keeps its distance from either kind.
+    bounds = {
+        name: [(a + b) / 2 for a, b in pairwise(sorted(found))] for name, found in edges.items() if len(found) > 1
+    }
     rules: list[Rule] = []
     rest = rows
     while bounds and len(rules) < MAX_RULES:
@@ -246,8 +251,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labels no rule is learned and only the base rules hold; no documents give an empty result.
     """
     statistics = written(text_statistics(docs), "quality-statistics")
-    rules = learn(statistics, labels)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+    # Rules are for what the base rules leave.
+    rules = learn(statistics.filter(~failed), labels)
     return statistics.withColumn("base_failed", failed).withColumn("rule", covering_rule(rules)).select(
         "doc_id",
         "n_words",
