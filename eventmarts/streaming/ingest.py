@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventmarts.contracts import EVENT_TYPES
 from eventmarts.operators.progress import ingest_counters, topic_partition
 from eventmarts.operators.routing import DEAD, VALID, raw_payload, route_events
+from eventmarts.sources.raw import WANTED, select_events
 from eventmarts.sources.tables import write_unit
 from eventmarts.streaming.batches import batch_key, start
 
@@ -42,16 +45,23 @@ def ingest_stream(
     counters: str,
     checkpoint: str,
     *,
+    cursor: int | None = None,
+    collections: Sequence[str] | None = None,
     drain: bool = True,
     **options,
 ) -> StreamingQuery:
     """Route each micro-batch once and write its parts.
 
+    With ``cursor`` or ``collections`` the stream is a subscription: only events above the
+    cursor and of the wanted collections are taken from the lines.
+
     A topic record has its author's partition, and the event's cursor as its offset.  The
     offsets of a batch are committed by the checkpoint after all its writes; a batch
     interrupted in between is repeated; it overwrites its own unfinished parts and leaves
     finished ones alone, which an archive may have read by then.
     """
+    if cursor is not None or collections is not None:
+        lines = select_events(lines, cursor, WANTED if collections is None else collections)
     routed = outgoing(route_events(lines)).withColumn("received_at", F.current_timestamp())
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:

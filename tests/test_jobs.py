@@ -343,14 +343,25 @@ def _lines(spark, root, numbers):
     spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("append").text(f"{root}/raw")
 
 
-def _ingest(spark, root):
+def _ingest(spark, root, **options):
     return ingest.ingest_stream(
         raw.stream_lines(spark, f"{root}/raw", max_files=1),
         {name: f"{root}/topics/{name}" for name in C.EVENT_TYPES},
-        f"{root}/dead", f"{root}/counters", f"{root}/ingested",
+        f"{root}/dead", f"{root}/counters", f"{root}/ingested", **options,
     )
 
 
+def test_subscription_from_a_cursor(spark, tmp_path):
+    root = str(tmp_path)
+    _lines(spark, root, range(8))
+    _ingest(spark, root, cursor=1_704_067_200_000_004, collections=[C.COLLECTION_POST]).awaitTermination()
+    posts = topics.read_topic(spark, f"{root}/topics/post")
+    assert sorted(r["kafka_offset"] - 1_704_067_200_000_000 for r in posts.collect()) == [5, 6, 7]
+    _lines(spark, root, [9, 2])
+    _ingest(spark, root, cursor=1_704_067_200_000_004, collections=[C.COLLECTION_LIKE]).awaitTermination()
+    assert topics.read_topic(spark, f"{root}/topics/post").count() == 3
+
+
 def _archive_ingested(spark, root):
     archive.archive_stream(
         topics.stream_topic(spark, f"{root}/topics/post"), C.POST, f"{root}/bronze", f"{root}/dlq", f"{root}/archived"
