@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ CHUNK = 1 << 20
 FLUSH = 1 << 24
 #: Suffixes that are sorted at a time, if one anchor hasn't more.
 SORT_ROWS = 400_000
+#: Runs of one anchor that are sorted together; the suffixes of a more frequent anchor are dealt
+#: out one by one, by a hash of their bytes, after those of each task have been put together.
+MOST_RUNS = 4096
 
 _PLACE = np.uint64(CHUNK - 1)
 _BASE = 0x9E3779B97F4A7C15
@@ -247,10 +251,19 @@ def _repeated(rows: list[tuple]) -> pa.RecordBatch | None:
 
 
 def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts the suffixes of runs that come ordered by key, whole keys at a time."""
+    """Spans of runs that come ordered by key: sorts their suffixes, whole keys at a time.
+
+    Runs that are copies already pass.
+    """
     held: list[tuple] = []
     size = 0
     for batch in batches:
+        done = batch.filter(batch.column("copy"))
+        if done.num_rows:
+            _, first, last = _unpacked(done.column("place").to_numpy())
+            columns = [done.column("doc_id"), done.column("th"), pa.array(first), pa.array(last + LENGTH)]
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _SPAN.split(", ")])
+        batch = batch.filter(pc.invert(batch.column("copy")))
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if size >= SORT_ROWS and row[0] != held[-1][0]:
                 if (found := _repeated(held)) is not None:
@@ -262,18 +275,46 @@ def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
+_CUT = "key bigint, doc_id bigint, th int, place bigint, bytes binary, copy boolean"
+
+
 def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From documents and their asked runs, the runs' bytes."""
-    names = ["key", "doc_id", "th", "place", "bytes"]
+    """From documents and their asked runs, the runs' bytes.
+
+    A run of a frequent anchor becomes its single suffixes; of equal ones only the earliest of a
+    batch goes on, the others are copies already.
+    """
+    from xxhash import xxh64_intdigest
+
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
+    names = [c.split()[0] for c in _CUT.split(", ")]
     for batch in batches:
         out: list[tuple] = []
-        for doc_id, th, text, asked in zip(*(batch.column(c) for c in ("doc_id", "th", "text", "asked")), strict=True):
-            raw, doc = text.as_py().encode(), doc_id.as_py()
+        single: dict[int, tuple] = {}
+        columns = (batch.column(c) for c in ("doc_id", "th", "text", "asked"))
+        for doc_id, th, text, asked in zip(*columns, strict=True):
+            raw, doc, short = text.as_py().encode(), doc_id.as_py(), th.as_py()
+            doc = _NULL_ID if doc is None else doc
             for a in asked.as_py():
-                _, first, last = _unpacked(a["place"])
-                out.append((a["key"], _NULL_ID if doc is None else doc, th.as_py(), a["place"], raw[first : last + LENGTH]))
+                anchor, first, last = _unpacked(a["place"])
+                if not a["frequent"]:
+                    out.append((a["key"], doc, short, a["place"], raw[first : last + LENGTH], False))
+                    continue
+                for at in range(first, last + 1):
+                    suffix = raw[at : at + LENGTH]
+                    key = xxh64_intdigest(suffix) - (1 << 63)
+                    row = (key, doc, short, (anchor << 16) | ((anchor - at) << 8), suffix, False)
+                    known = single.get(key)
+                    if known is None or known[4] == suffix:
+                        earlier, later = (known, row) if known and (known[1], known[2], known[3] >> 16) <= (doc, short, anchor) else (row, known)
+                        single[key] = earlier
+                        if later:  # dealt out by its place, not with all that are equal to it
+                            spread = xxh64_intdigest(b"%d %d" % (later[1], later[3])) - (1 << 63)
+                            out.append((spread, *later[1:4], b"", True))
+                    else:
+                        out.append(row)
+        out += single.values()
         if out:
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
 
@@ -306,6 +347,13 @@ def _same(doc_id: str, th: str) -> Column:
     return (known == F.col(doc_id)) & (F.col("th") == F.col(th))
 
 
+def _copied(rows: DataFrame) -> DataFrame:
+    """The spans of whole runs."""
+    first = F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(F.lit(255))
+    last = first + F.col("place").bitwiseAND(F.lit(255))
+    return rows.select("doc_id", "th", first.alias("begin"), (last + LENGTH).alias("finish"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, begin, finish): spans of bytes to remove, which may overlap.
 
@@ -315,16 +363,28 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     along = Window.partitionBy("key").orderBy("ctx", "doc_id", "th", "place")
     whole = Window.partitionBy("key")
     here, before = F.struct("ctx", "doc_id", "th", "place"), F.lag(F.struct("ctx", "doc_id", "th", "place")).over(along)
+    # Each task has sent its first run of the same bytes; the rest are copies already.
     settled = (
         found.filter("not copy")
         .withColumn("before", before)
         .withColumn("several", F.min("ctx").over(whole) != F.max("ctx").over(whole))
+        .withColumn("frequent", F.count("*").over(whole) > MOST_RUNS)
         .filter(F.col("before").isNull() | (F.col("before") != here))
         .withColumn("copy", F.coalesce(F.col("before.ctx") == F.col("ctx"), F.lit(False)))
         .filter("copy or several")
-        .select("key", "doc_id", "th", "place", "copy")
     )
-    return settled.unionByName(found.filter("copy").select("key", "doc_id", "th", "place", "copy"))
+    columns = ["key", "doc_id", "th", "place", "copy"]
+    local = found.filter("copy").select(*columns, F.lit(False).alias("frequent"))
+    settled = written(settled.select(*columns, "frequent").unionByName(local), "suffix-runs")
+    asked = (
+        settled.filter("not copy")
+        .groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th"))
+        .agg(F.collect_list(F.struct("key", "place", "frequent")).alias("asked"))
+    )
+    asked = small_side(written(asked, "suffix-asked"), 1024)
+    cut = docs.join(asked, _same("a_id", "a_th")).dropDuplicates(["doc_id", "th"]).mapInArrow(cut_runs, _CUT)
+    sorted_runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(sort_runs, _SPAN)
+    return _copied(settled.filter("copy")).unionByName(sorted_runs)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -337,23 +397,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     read; an empty table gives an empty result.
     """
     docs = docs.select("doc_id", F.hash("text").alias("th"), "text")
-    settled = written(repeated_spans(docs), "suffix-runs")
-    asked = (
-        settled.filter("not copy")
-        .groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th"))
-        .agg(F.collect_list(F.struct("key", "place")).alias("asked"))
-    )
-    asked = small_side(written(asked, "suffix-asked"), 1024)
-    cut = docs.join(asked, _same("a_id", "a_th")).dropDuplicates(["doc_id", "th"]).mapInArrow(
-        cut_runs, "key bigint, doc_id bigint, th int, place bigint, bytes binary"
-    )
-    sorted_runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(sort_runs, _SPAN)
-    first = F.shiftright("place", 16) - F.shiftright("place", 8).bitwiseAND(F.lit(255))
-    copies = settled.filter("copy").select(
-        "doc_id", "th", first.alias("begin"), (first + F.col("place").bitwiseAND(F.lit(255)) + LENGTH).alias("finish")
-    )
     spans = (
-        copies.unionByName(sorted_runs)
+        repeated_spans(docs)
         .groupBy(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th"))
         .agg(F.collect_list(F.struct("begin", "finish")).alias("spans"))
     )
