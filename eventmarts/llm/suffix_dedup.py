@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmarts.llm.common import small_side, written
+from eventmarts.llm.common import written
 
 LENGTH = 100
 GRAM = 20
@@ -381,7 +381,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th"))
         .agg(F.collect_list(F.struct("key", "place", "frequent")).alias("asked"))
     )
-    asked = small_side(written(asked, "suffix-asked"), 1024)
+    asked = written(asked, "suffix-asked")
     cut = docs.join(asked, _same("a_id", "a_th")).dropDuplicates(["doc_id", "th"]).mapInArrow(cut_runs, _CUT)
     sorted_runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(sort_runs, _SPAN)
     return _copied(settled.filter("copy")).unionByName(sorted_runs)
@@ -402,7 +402,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th"))
         .agg(F.collect_list(F.struct("begin", "finish")).alias("spans"))
     )
-    spans = small_side(written(spans, "suffix-spans"), 1024)
+    spans = written(spans, "suffix-spans")
     return docs.join(spans, _same("s_id", "s_th"), "left").select("doc_id", "text", "spans").mapInArrow(remove_spans, _OUT)
 
 
