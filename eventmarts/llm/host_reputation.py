@@ -93,10 +93,11 @@ def _strength(children: DataFrame) -> float:
     return 1.0 / min(max(rho, 0.001), 0.99) - 1.0
 
 
-def _shrunk(counts: DataFrame, level: str, parents: DataFrame, parent: str) -> tuple[DataFrame, float]:
-    """Posterior means of a level, given its parents' as (parent, m)."""
-    summed = counts.groupBy(level, parent).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    joined = written(summed.join(parents, parent), f"reputation-{level}")
+def _shrunk(counts: DataFrame, level: str, parents: DataFrame | float, *parent: str) -> tuple[DataFrame, float]:
+    """Posterior means of a level, given its parents' as (parent, m), or one mean for all."""
+    summed = counts.groupBy(level, *parent).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    known = summed.join(parents, parent[0]) if parent else summed.withColumn("m", F.lit(parents))
+    joined = written(known, f"reputation-{level}")
     k = _strength(joined)
     mean = (F.col("good") + k * F.col("m")) / (F.col("n") + k)
     return joined.select(level, "n", "good", F.col("m").alias("parent_m"), mean.alias("m")), k
@@ -121,9 +122,7 @@ def reputations(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFram
     )
     row = counts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     overall = ((row["good"] or 0.0) + 1.0) / ((row["n"] or 0.0) + 2.0)
-    top = counts.select(F.lit("").alias("root"), "*")
-    root = top.select("root").distinct().withColumn("m", F.lit(overall))
-    suffixes, _ = _shrunk(top, "suffix", root, "root")
+    suffixes, _ = _shrunk(counts, "suffix", overall)
     domains, _ = _shrunk(counts, "domain", suffixes.select("suffix", "m"), "suffix")
     final, k = _shrunk(counts, "host", domains.select("domain", "m"), "domain")
     mean, weight = F.col("m"), F.col("n") + k
