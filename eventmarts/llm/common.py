@@ -27,6 +27,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
+    # Executors keep a finished shuffle's files until the driver's JVM collects its plan.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

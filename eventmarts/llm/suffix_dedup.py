@@ -222,6 +222,7 @@ def equal_suffixes(words: np.ndarray, starts: np.ndarray, group: np.ndarray) ->
 
 def _repeated(rows: list[tuple]) -> pa.RecordBatch | None:
     """Spans covered by suffixes of the runs (key, doc_id, th, place, bytes) that have an earlier equal."""
+    rows = list({row[:4]: row for row in rows}.values())  # repeated rows are one document
     key, doc_id, th, place = (np.array([r[i] for r in rows], np.int64) for i in range(4))
     order = _order(doc_id, th, place)
     key, doc_id, th, place = (x[order] for x in (key, doc_id, th, place))
@@ -306,6 +307,8 @@ def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     row = (key, doc, short, (anchor << 16) | ((anchor - at) << 8), suffix, False)
                     known = single.get(key)
                     if known is None or known[4] == suffix:
+                        if known and (known[1], known[2], known[3]) == (doc, short, row[3]):
+                            continue  # a row of the same document
                         earlier, later = (known, row) if known and (known[1], known[2], known[3] >> 16) <= (doc, short, anchor) else (row, known)
                         single[key] = earlier
                         if later:  # dealt out by its place, not with all that are equal to it
@@ -382,7 +385,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("key", "place", "frequent")).alias("asked"))
     )
     asked = written(asked, "suffix-asked")
-    cut = docs.join(asked, _same("a_id", "a_th")).dropDuplicates(["doc_id", "th"]).mapInArrow(cut_runs, _CUT)
+    cut = docs.join(asked, _same("a_id", "a_th")).mapInArrow(cut_runs, _CUT)
     sorted_runs = cut.repartition("key").sortWithinPartitions("key").mapInArrow(sort_runs, _SPAN)
     return _copied(settled.filter("copy")).unionByName(sorted_runs)
 
