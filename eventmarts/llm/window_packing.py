@@ -53,6 +53,8 @@ class Encoder:
 
     The file's ids are the ranks of its merges, so the faster of the two libraries that read such
     vocabularies gives the ids that the file's own library gives; a test holds them together.
+    Tokens that the file adds to its merges, like ``<|endoftext|>``, are plain text to ``encode``
+    unless ``added_tokens`` is set; the file's own library always reads them as one id.
     """
 
     def __init__(self, path: str):
@@ -61,20 +63,21 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in t): i for t, i in tokenizer.get_vocab().items() if t not in special}
-        self.encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        size = max(ranks.values()) + 1
+        self.encoding = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        size = max([*ranks.values(), *special.values()]) + 1
         self.line_end, self.full_stop, self.space_first = np.zeros((3, size), bool)
         for token, i in ranks.items():
             self.line_end[i] = token.endswith(b"\n")
             self.full_stop[i] = _FULL_STOP.fullmatch(token) is not None
             self.space_first[i] = token[:1].isspace()
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, text: str, added_tokens: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a text, and the positions in it (in ids) after which a sentence ends."""
-        ids = np.array(self.encoding.encode_ordinary(text), np.uint32)
+        found = self.encoding.encode(text, allowed_special="all") if added_tokens else self.encoding.encode_ordinary(text)
+        ids = np.array(found, np.uint32)
         ends = self.line_end[ids]
         ends[:-1] |= self.full_stop[ids[:-1]] & self.space_first[ids[1:]]
         return ids, np.flatnonzero(ends) + 1
@@ -196,10 +199,11 @@ class Packer:
         return rows
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str | None = None, added_tokens: bool = False) -> DataFrame:
     """One row per piece of a document in a sequence, in the order of the table.
 
     A document's tokens are its text's ids and then id 1, so a null or empty text is one token.
+    With ``added_tokens`` the ids are those that the tokenizer file's own library gives by default.
     Rows that repeat an id are packed one by one; a null id stays null; columns other than doc_id
     and text are not read; an empty table gives an empty result.  Sequence ids are unique: the
     partition's number above ``SEQUENCE_BITS`` bits, and a count below.
@@ -220,7 +224,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, ends = encoder.encode(text.as_py() or "")
+                ids, ends = encoder.encode(text.as_py() or "", added_tokens)
                 yield from out(packer.add(doc_id, np.append(ids, end), ends))
         yield from out(packer.finish())
 
@@ -229,4 +233,4 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), added_tokens=True)

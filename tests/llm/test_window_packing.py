@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -110,3 +111,15 @@ def test_blocks_waste_little(block, monkeypatch):
 def test_registered_query(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     check(W.query(spark, sf).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_queries_read_added_tokens_as_the_file_does(spark, make_docs, tmp_path):
+    default = Tokenizer.from_file(FILE)
+    docs = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>x."), (3, "no <|endoftext| here"), (4, "A. <|endoftext|>\n B")]
+    make_docs(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    tables = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for rows in (W.query(spark, str(tmp_path)).collect(), corpus_pipeline.packing(spark, tables, "").collect()):
+        got = {r.doc_id: (r.start, r.ids_crc32, r.doc_tokens) for r in rows}
+        for key, text in docs:
+            ids = [*default.encode(text, add_special_tokens=False).ids, 1]
+            assert got[key] == (0, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids))
