@@ -17,7 +17,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmarts.llm.common import DOCUMENT_COLUMNS, written
@@ -150,23 +150,20 @@ def linked(fps: np.ndarray, max_bits: int) -> np.ndarray:
     return parent
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (signed 64 bits) and component_id, one row per row of ``docs``.
-
-    component_id is the smallest doc_id of all documents reachable through links.  A null or empty
-    text, or one of white space, has fingerprint zero and is linked like any other; a null doc_id
-    is kept and is never a component's id unless all its ids are null; repeated rows are returned
-    as often; columns other than doc_id and text are not read; an empty table gives an empty result.
-    """
+def _classes(docs: DataFrame, max_bits: int, row_hash: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp, row_hash if given) of each row, and (fp, root, component_id) of each fingerprint."""
+    more = [] if row_hash is None else [row_hash.alias("row_hash")]
+    names = ["doc_id", "fp", "row_hash"][: 2 + len(more)]
 
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter(
                 (fingerprint(t.as_py() or "") for t in batch.column(1)), np.uint64, batch.num_rows
             ).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names)
 
-    prints = written(docs.select("doc_id", "text").mapInArrow(fingerprints, "doc_id bigint, fp bigint"), "simhash")
+    schema = ", ".join(f"{name} bigint" for name in names)
+    prints = written(docs.select("doc_id", "text", *more).mapInArrow(fingerprints, schema), "simhash")
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     n = firsts.count()
     sample = firsts.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
@@ -193,16 +190,37 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     roots = stars(edges).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     rooted = firsts.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = written(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
+    return prints, written(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-classes")
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp (signed 64 bits) and component_id, one row per row of ``docs``.
+
+    component_id is the smallest doc_id of all documents reachable through links.  A null or empty
+    text, or one of white space, has fingerprint zero and is linked like any other; a null doc_id
+    is kept and is never a component's id unless all its ids are null; repeated rows are returned
+    as often; columns other than doc_id and text are not read; an empty table gives an empty result.
+    """
+    prints, classes = _classes(docs, max_bits)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document columns of one document of each near-duplicate group, that of the smallest doc_id."""
+    """The document columns of exactly one row of each near-duplicate group.
+
+    It is the row of the smallest doc_id, null ids last, and among rows of that id the one of the
+    smallest hash of all document columns; so a group of null ids keeps one row too, and rows that
+    share an id but not a group are told apart by their hashes.
+    """
     docs = docs.select(*DOCUMENT_COLUMNS)
-    classes = near_duplicates(docs, max_bits)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi").dropDuplicates(["doc_id"])
+    row_hash = F.xxhash64(*DOCUMENT_COLUMNS)
+    prints, classes = _classes(docs, max_bits, row_hash)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("first")
+    firsts = prints.groupBy("fp").agg(first).join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = written(firsts.select(F.col("first.doc_id").alias("kept"), F.col("first.row_hash").alias("kept_hash")), "simhash-kept")
+    own = F.col("doc_id").eqNullSafe(F.col("kept")) & (F.col("row_hash") == F.col("kept_hash"))
+    # Only equal rows are left with the same id and hash.
+    return docs.withColumn("row_hash", row_hash).join(kept, own, "left_semi").dropDuplicates(["doc_id", "row_hash"]).drop("row_hash")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

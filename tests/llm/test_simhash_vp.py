@@ -94,5 +94,19 @@ def test_keep_one(make_docs):
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["2", "9", "None"]
 
 
+def test_keep_one_of_each_group_whatever_its_ids(make_docs):
+    null_ids = [(None, "a b c d"), (None, "A b c d"), (None, "other words are here"), (None, "quite another text"), (None, "quite another text")]
+    shared_id = [(7, "this is one text"), (7, "and that is something else"), (8, "and that is something else")]
+    mixed = [(None, "mixed ids stand here"), (3, "mixed ids stand here")]
+    rows = null_ids + shared_id + mixed
+    got = sorted((str(r.doc_id), r.text.lower()) for r in S.keep_one(make_docs(rows)).collect())
+    assert got == sorted([
+        ("None", "a b c d"), ("None", "other words are here"), ("None", "quite another text"),
+        ("7", "this is one text"), ("7", "and that is something else"), ("3", "mixed ids stand here"),
+    ])
+    again = S.keep_one(make_docs(rows[::-1]).repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, S.keep_one(make_docs(rows)).collect()))
+
+
 def test_empty_table(make_docs):
     assert S.near_duplicates(make_docs([])).count() == 0
