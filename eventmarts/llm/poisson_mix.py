@@ -2,8 +2,9 @@
 
 Each source has a mean repetition rate: its target share of the output divided by its size.  A
 document's number of copies is the Poisson distribution of that mean, inverted at a uniform number
-hashed from the seed and the document's id, so it depends on nothing else: not on the partitioning,
-not on a retry.  Every document is exploded by its count and the copies are dealt out at random.
+hashed from the seed, the document's id and its text, so it depends on nothing else: not on the
+partitioning, not on a retry.  Every document is exploded by its count and the copies are dealt out
+at random.
 """
 
 from __future__ import annotations
@@ -73,39 +74,48 @@ def with_steps(rates: DataFrame) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, size: float = 1.0, seed: int = SEED
+    docs: DataFrame,
+    weights: Mapping[str, float] | None = None,
+    size: float = 1.0,
+    seed: int = SEED,
+    by_text: bool = True,
 ) -> DataFrame:
     """Copies of the documents in random order, so that sources have their target shares.
 
     Returns the document columns with ``source_rate``, ``copies`` and ``copy`` (from 1).  A null
     source counts as the source ``''``; null and empty texts are copied like any other of their
-    source; rows that repeat an id get the same number of copies each; an empty table gives an
-    empty result.  Other columns of ``docs`` are left out.
+    source; rows that repeat an id and a text get the same number of copies each, rows that share
+    only the id, or only a null id, are drawn each for itself; an empty table gives an empty
+    result.  Other columns of ``docs`` are left out.  Without ``by_text`` the draw is that of the
+    SQL twin, by the id alone, and all rows of a null id share one.
     """
-    docs = docs.select(*DOCUMENT_COLUMNS)
+    # Equal rows have equal order keys; by where they were read they still go to many tasks.
+    docs = docs.select(*DOCUMENT_COLUMNS, F.spark_partition_id().alias("salt"))
+    text_hash = F.xxhash64("text")
     rates = written(with_steps(source_rates(docs, weights, size)), "mix-rates").select(
         F.col("source").alias("rate_source"), F.col("rate").alias("source_rate"), "steps"
     )
-    drawn = uniform(seed, F.lit("copies"), F.col("doc_id"))
+    drawn = uniform(seed, F.lit("copies"), F.col("doc_id"), *([text_hash] if by_text else []))
     counted = (
         docs.join(small_side(rates, 4096), F.coalesce("source", F.lit("")) == F.col("rate_source"))
         .withColumn("draw", drawn)
         .withColumn("copies", F.coalesce(F.size(F.filter("steps", lambda c: c <= F.col("draw"))), F.lit(0)))
         .filter(F.col("copies") > 0)
     )
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), F.col("doc_id").cast("string"), "copy"))
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), id_text, text_hash.cast("string"), "copy"))
     return (
-        counted.select(*DOCUMENT_COLUMNS, "source_rate", "copies", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+        counted.select(*DOCUMENT_COLUMNS, "salt", "source_rate", "copies", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
         .withColumn("order_key", order)
-        .repartition("order_key")
+        .repartition("order_key", "salt")
         .sortWithinPartitions("order_key")
-        .drop("order_key")
+        .drop("order_key", "salt")
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).withColumn("source_rate", F.round("source_rate", 6))
+    return mix(docs, by_text=False).withColumn("source_rate", F.round("source_rate", 6))
 
 
 ORACLE = f"""

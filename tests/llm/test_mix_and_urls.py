@@ -48,6 +48,25 @@ def test_the_deal_does_not_depend_on_partitions(make_docs):
     assert Counter(one.collect()) == Counter(many.collect())
 
 
+def test_rows_of_null_or_shared_ids_are_drawn_each(make_docs):
+    rows = [(None, f"text {i:05d}", "en", "big", 10) for i in range(3000)] + [(7, f"text {i:05d}", "en", "small", 10) for i in range(1000)]
+    got = P.mix(make_docs(rows), {"big": 1.0, "small": 1.0}).collect()
+    shares = Counter(r.source for r in got)
+    assert abs(shares["big"] / len(got) - 0.5) < 0.04 and abs(len(got) / 4000 - 1) < 0.06
+    assert len({r.copies for r in got if r.source == "small"}) > 2
+
+
+def test_equal_rows_go_to_many_tasks(spark, make_docs):
+    rows = [(None, "the same", "en", "s", 8)] * 2000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed = P.mix(make_docs(rows).repartition(16), {"s": 1.0}, 3.0)
+        sizes = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) > 1 and max(sizes) < 0.45 * sum(sizes)
+
+
 URLS = [
     None, "", "no scheme", "://", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "https://example.com/en/", "https://a.example.com/EN/",
     "http://example.com", "http://notexample.com/en/", "ftp://x.net/es/1#f", "http://net/fr/", "http://É.Net?q=/fr/", "a://b://c/d", "http://co.uk/x", "http://a.b.co.uk/x",
