@@ -1,6 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Every long run of token characters in a whole text is a candidate.  A forest over its length,
+Every long run of token characters in a whole text is a candidate, without a name assigned in front
+of it, and so is every value of any characters but white space and quotes, six or more of them,
+that is assigned to a credential's name.  A forest over its length,
 character transitions, coverage by dictionary words, path and neighbouring words is trained from
 labelled findings and decides which candidates are secrets.  The dictionary is counted from the
 whole corpus.  DataFrame and Spark ML operations only.
@@ -32,6 +34,20 @@ LEAST_COUNT = 20
 CREDENTIAL_WORDS = "token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|auth|bearer|credential"
 OTHER_WORDS = "sha|sha1|sha256|md5|crc|digest|checksum|hash|commit|uuid|guid|etag|integrity|revision"
 
+# What is looked for is a value assigned to a credential's name, or else a CANDIDATE, without the name that a "=" ends.
+_NAME = r"[A-Za-z0-9+/_-]"
+_VALUE = (
+    r"(?!\[SECRET\])(?:[^\s\"'`]{6,}(?=[\"'`])|[^\s\"'`]{5,}[^\s\"'`.,;:!?()\[\]{}<>])"  # no stop behind an unquoted one
+)
+_ASSIGNED = (
+    r"(?<=[:=\s\"'`>])(?<=[:=]>?\s{0,4}[\"'`]?)"  # rules nearly all places out before the long look back
+    rf"(?<=(?i:{CREDENTIAL_WORDS})[\w-]{{0,20}}[\"'`]?\s{{0,4}}[:=]{{1,2}}>?\s{{0,4}}[\"'`]?){_VALUE}"
+)
+FOUND = (
+    rf"{_ASSIGNED}|(?<!{_NAME})(?={CANDIDATE})(?!{_NAME}{{1,80}}=(?!=){CANDIDATE})"
+    rf"(?!{_NAME}{{0,60}}(?i:{CREDENTIAL_WORDS})[\w-]{{0,20}}=(?!=){_VALUE}){CANDIDATE}"
+)
+
 FEATURES = [
     *("length", "digits", "capitals", "class_changes", "vowel_changes", "distinct_chars", "dictionary"),
     *("credential_before", "other_before", "assigned", "quoted", "in_path", "test_path", "words_around"),
@@ -49,12 +65,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     Rows that repeat an id and a text have their candidates once.
     """
     body = F.coalesce("text", F.lit(""))
-    found = docs.filter(body.rlike(CANDIDATE)).select(
+    found = docs.filter(body.rlike(FOUND)).select(
         "doc_id",
         _text_hash().alias("text_hash"),
         F.coalesce("source", F.lit("")).alias("path"),
-        F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("values"),
-        F.split(body, CANDIDATE, -1).alias("gaps"),
+        F.regexp_extract_all(body, F.lit(FOUND), F.lit(0)).alias("values"),
+        F.split(body, FOUND, -1).alias("gaps"),
     )
     # An outer explode: for the other kind a test for emptiness, with the arrays' expressions in it, goes below.
     each = found.select(
@@ -191,9 +207,9 @@ def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFram
         .drop("any")
     )
     secret = small_side(written(secret, "secret-flags"), 256)
-    values = F.regexp_extract_all(F.col("text"), F.lit(CANDIDATE), F.lit(0))
+    values = F.regexp_extract_all(F.col("text"), F.lit(FOUND), F.lit(0))
     pieces = F.transform(
-        F.arrays_zip(F.split("text", CANDIDATE, -1).alias("gap"), values.alias("value"), F.col("flags").alias("flag")),
+        F.arrays_zip(F.split("text", FOUND, -1).alias("gap"), values.alias("value"), F.col("flags").alias("flag")),
         lambda p: F.concat(p["gap"], F.when(p["flag"], MASK).otherwise(F.coalesce(p["value"], F.lit("")))),
     )
     same = F.col("doc_id").eqNullSafe(F.col("s_id")) & (_text_hash() == F.col("s_hash"))

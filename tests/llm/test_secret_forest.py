@@ -82,3 +82,33 @@ def test_long_text(make_docs):
     text = " ".join(f"{i:020d}" for i in range(3000)) + ' token = "' + "a1b2" * 10 + '"'
     found = S.findings(make_docs([(1, text)])).collect()
     assert len(found) == 3001 and max(r.start for r in found) == 3000 * 21 + len('token = "')
+
+
+SHAPES = [
+    ("password = 'Tr0ub4dor&3xyz' set", "Tr0ub4dor&3xyz"),
+    ("then db_password: hunter2secret, and", "hunter2secret"),
+    ('password="abcd1234EFGH"', "abcd1234EFGH"),
+    ("export API_TOKEN=04dbeb2f9a1c4d77aa02 now", "04dbeb2f9a1c4d77aa02"),
+    ("x OTHER_NAME=04dbeb2f9a1c4d77aa02 y", "04dbeb2f9a1c4d77aa02"),
+    ("x SOME_LONG_NAME=short12 y", "SOME_LONG_NAME=short12"),
+    ("pad QUJDREVGR0hJSktMTU5PUA== end", "QUJDREVGR0hJSktMTU5PUA=="),
+    ("line ==================== end", "===================="),
+    ("token = [SECRET] and password: abc", None),
+    ('"api_key": "k9!x2#"', "k9!x2#"),
+    ("secret: 'ab1!cd2!'.", "ab1!cd2!"),
+]
+
+
+def test_short_and_unquoted_values_are_candidates(make_docs):
+    found = {r.doc_id: (r.value, r.start) for r in S.candidates(make_docs([(i, t) for i, (t, _) in enumerate(SHAPES)])).collect() if r.value}
+    assert found == {i: (v, t.index(v)) for i, (t, v) in enumerate(SHAPES) if v}
+
+
+def test_short_and_unquoted_secrets_are_masked(make_docs):
+    rng = random.Random(4)
+    rows, _ = corpus(rng)
+    shapes = [SHAPES[i] for i in (0, 1, 2, 3, 9)]
+    rows += [(1000 + 10 * k + i, t) for k in range(8) for i, (t, _) in enumerate(shapes)]
+    out = {r.doc_id: r.text for r in S.mask_secrets(make_docs(rows)).collect()}
+    for i, (text, value) in enumerate(shapes):
+        assert out[1000 + i] == text.replace(value, S.MASK)
