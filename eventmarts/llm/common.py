@@ -32,13 +32,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, row_bytes: int, limit_bytes: int = 32 << 20) -> DataFrame:
+def small_side(df: DataFrame, row_bytes: int | Column, limit_bytes: int = 32 << 20) -> DataFrame:
     """A written table, marked for broadcast only if its counted rows prove that it is small.
 
+    ``row_bytes`` is the most that a row can take, or a column of what each row does take.
     Beyond the limit the plain table comes back and the join is a shuffle, whose hot keys
     adaptive execution splits.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit_bytes else df
+    if isinstance(row_bytes, Column):
+        size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    else:
+        size = df.count() * row_bytes
+    return F.broadcast(df) if size <= limit_bytes else df
 
 
 def lower_ascii(text: Column) -> Column:

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmarts.llm import (
     decision_list,
+    hard_negatives,
     host_reputation,
+    interleave,
     license_diagonals,
+    merkle_butterfly,
     nra_topk,
     poisson_mix,
     secret_forest,
@@ -32,6 +35,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_diagonals": license_diagonals.query,
         "op9_poisson_mix": poisson_mix.query,
         "op10_suffix_dedup": suffix_dedup.query,
+        "op11_merkle_butterfly": merkle_butterfly.query,
+        "op12_segment_negatives": hard_negatives.query,
+        "op13_interleave": interleave.query,
     }
 
 
@@ -40,4 +46,7 @@ def llm_oracles() -> dict[str, str]:
         "op3_nra_topk": nra_topk.ORACLE,
         "op4_url_reputation": host_reputation.ORACLE,
         "op9_poisson_mix": poisson_mix.ORACLE,
+        "op11_merkle_butterfly": merkle_butterfly.ORACLE,
+        "op12_segment_negatives": hard_negatives.ORACLE,
+        "op13_interleave": interleave.ORACLE,
     }
