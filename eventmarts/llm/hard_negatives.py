@@ -179,15 +179,20 @@ def _side(t: pa.Table) -> Side:
 
 
 def _with_summaries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds each vector's means and deviations, level after level, to vectors of any lengths."""
+    """Adds each vector's means and deviations, level after level; vectors of one length together."""
     for batch in batches:
-        rows = []
-        for v in batch["vector"].to_pylist():
-            x = np.array([v], np.int64).reshape(1, -1)
-            rows.append(np.concatenate([part[0] for s in levels(x.shape[1]) for part in summaries(x, s)] or [np.empty(0)]))
-        flat = np.concatenate(rows) if rows else np.empty(0)
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-        summary = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.float64()))
+        vectors = batch["vector"]
+        ends = vectors.offsets.to_numpy()
+        lengths, values = np.diff(ends), vectors.values.to_numpy(zero_copy_only=False)
+        sizes = np.array([2 * sum(levels(d)) for d in lengths], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        flat = np.empty(offsets[-1])
+        for dims in np.unique(lengths[sizes > 0]):
+            rows = np.nonzero(lengths == dims)[0]
+            x = values[ends[rows][:, None] + np.arange(dims)]
+            parts = np.concatenate([part for s in levels(dims) for part in summaries(x, s)], axis=1)
+            flat[offsets[rows][:, None] + np.arange(parts.shape[1])] = parts
+        summary = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.float64()))
         yield pa.RecordBatch.from_arrays([*batch.columns, summary], [*batch.schema.names, "summary"])
 
 
