@@ -39,8 +39,8 @@ MOST_RUNS = 4096
 
 _PLACE = np.uint64(CHUNK - 1)
 _BASE = 0x9E3779B97F4A7C15
-_RUN = "key bigint, ctx bigint, doc_id bigint, th int, place bigint, copy boolean"
-_SPAN = "doc_id bigint, th int, begin bigint, finish bigint"
+_RUN = "key bigint, ctx bigint, doc_id bigint, th bigint, place bigint, copy boolean"
+_SPAN = "doc_id bigint, th bigint, begin bigint, finish bigint"
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -146,7 +146,7 @@ class _Runs:
         same[1:] = ctx[1:] == ctx[:-1]
         again = np.zeros(len(key), bool)
         again[1:] = same[1:] & (doc_id[1:] == doc_id[:-1]) & (th[1:] == th[:-1]) & (place[1:] == place[:-1])
-        columns = [key.view(np.int64), ctx.view(np.int64), doc_id, th.astype(np.int32), place, same]
+        columns = [key.view(np.int64), ctx.view(np.int64), doc_id, th.astype(np.int64), place, same]
         return pa.RecordBatch.from_arrays([pa.array(c[~again]) for c in columns], [c.split()[0] for c in _RUN.split(", ")])
 
 
@@ -247,7 +247,7 @@ def _repeated(rows: list[tuple]) -> pa.RecordBatch | None:
     apart[1:] = (doc_id[run[1:]] != doc_id[run[:-1]]) | (th[run[1:]] != th[run[:-1]]) | (start[1:] > start[:-1] + LENGTH)
     at = np.flatnonzero(apart)
     final = start[np.append(at[1:], len(run)) - 1] + LENGTH
-    columns = [doc_id[run[at]], th[run[at]].astype(np.int32), start[at], final]
+    columns = [doc_id[run[at]], th[run[at]].astype(np.int64), start[at], final]
     return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), [c.split()[0] for c in _SPAN.split(", ")])
 
 
@@ -276,7 +276,7 @@ def sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
-_CUT = "key bigint, doc_id bigint, th int, place bigint, bytes binary, copy boolean"
+_CUT = "key bigint, doc_id bigint, th bigint, place bigint, bytes binary, copy boolean"
 
 
 def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +287,7 @@ def cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     from xxhash import xxh64_intdigest
 
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.bool_())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
     names = [c.split()[0] for c in _CUT.split(", ")]
     for batch in batches:
         out: list[tuple] = []
@@ -360,7 +360,7 @@ def _copied(rows: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, begin, finish): spans of bytes to remove, which may overlap.
 
-    ``docs`` has (doc_id, th, text) with a short hash of the text.
+    ``docs`` has (doc_id, th, text) with a hash of the text.
     """
     found = docs.mapInArrow(runs, _RUN)
     along = Window.partitionBy("key").orderBy("ctx", "doc_id", "th", "place")
@@ -399,7 +399,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     returned as often.  A null text is empty; matches never cross documents; other columns are not
     read; an empty table gives an empty result.
     """
-    docs = docs.select("doc_id", F.hash("text").alias("th"), "text")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     spans = (
         repeated_spans(docs)
         .groupBy(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th"))

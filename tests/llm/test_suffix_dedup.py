@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventmarts.llm import suffix_dedup as S
 
@@ -113,3 +114,16 @@ def test_empty_table(make_docs):
 def test_registered_query(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert digest(S.query(spark, sf).collect()) == sorted(plain(docs), key=str)
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_documents_of_one_id_whose_texts_share_a_short_hash(spark, make_docs, doc_id):
+    """Texts of one 32-bit hash are documents of their own: the second loses what it shares."""
+    passage = words(random.Random(3), 60)
+    many = spark.range(300_000).selectExpr(f"concat('{passage}', id) as text").selectExpr("text", "hash(text) as h")
+    pair = [r.text for r in many.join(many.groupBy("h").count().filter("count > 1"), "h").orderBy("h", "text").take(2)]
+    by_hash = spark.createDataFrame([(t,) for t in pair], "text string").orderBy(F.xxhash64("text")).collect()
+    expected = [n for _, _, n, _, _ in plain([(i, r.text) for i, r in enumerate(by_hash)])]
+    assert expected[0] == 0 < expected[1]
+    got = {r.n_removed for r in S.dedup(make_docs([(doc_id, t) for t in pair])).collect()}
+    assert got == set(expected)
