@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmarts.contracts import FRESHNESS_MAX_LAG_SECONDS, KEY, VOLUME_MIN_FRACTION
@@ -60,6 +60,22 @@ def freshness(
         last_day = bronze.select("created_day").agg(F.max("created_day")).scalar()
         rows = bronze.where(F.col("created_day") == last_day)
     newest = rows.agg(F.max(column).cast("timestamp").alias("newest"))
+    return _freshness(newest, now, target, max_lag)
+
+
+def freshness_of(
+    spark: SparkSession,
+    newest: int | None,
+    now: datetime,
+    target: str = "bronze",
+    max_lag: int = FRESHNESS_MAX_LAG_SECONDS,
+) -> DataFrame:
+    """The same check of a newest event time that is known already, in microseconds; reads no table."""
+    at = F.timestamp_micros(F.lit(newest).cast("long"))
+    return _freshness(spark.range(1).select(at.alias("newest")), now, target, max_lag)
+
+
+def _freshness(newest: DataFrame, now: datetime, target: str, max_lag: int) -> DataFrame:
     lag = F.round((F.lit(to_micros(now)) - F.unix_micros("newest")) / 1e6, 6)
     return _result(
         newest,

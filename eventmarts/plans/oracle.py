@@ -385,5 +385,9 @@ def all_oracles() -> dict[str, str]:
               (select avg(n) from days where day < (select max(day) from days)), false""",
     }
     twins["chain_bronze"] = twins["project_posts"]
+    twins["landing_units"] = twins["stream_archive"]
+    twins["stream_latest"] = twins["dedup_latest"]
+    twins["stream_minutes_latest"] = twins["events_per_minute"]
+    twins["stream_safe_cursor"] = twins["safe_cursor"]
     twins["vertical_incremental"] = twins["mart_incremental_upsert"]
     return twins

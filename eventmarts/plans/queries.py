@@ -18,9 +18,9 @@ from eventmarts.operators import validation
 from eventmarts.plans import compaction, vertical
 from eventmarts.plans import event_views as views
 from eventmarts.session import configure, shared_dir
-from eventmarts.sources import raw, tables, topics
+from eventmarts.sources import ledger, raw, tables, topics
 from eventmarts.sources.cursors import CursorTable
-from eventmarts.streaming import archive, batches, ingest, realtime
+from eventmarts.streaming import archive, batches, changes, ingest, realtime, safe_cursors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,6 +199,37 @@ def landing_incremental(spark, sf_dir):
     return _load_in_two(spark, sf_dir, _BRONZE_NTZ.names).select(*_DEDUP_COLUMNS, "text", _tags())
 
 
+@query
+def landing_units(spark, sf_dir):
+    """Landing by finished units beside an archive whose clock is set back between its batches."""
+    root = shared_dir(spark, "units")
+    finished, loaded = ledger.Ledger(spark, f"{root}/ledger/bronze"), ledger.Ledger(spark, f"{root}/ledger/landing")
+
+    def land() -> int:
+        return vertical.load_units(spark, f"{root}/bronze", C.POST.bronze, finished, f"{root}/landing", loaded)
+
+    for part, clock in enumerate((NOW, HALFWAY)):
+        records = views.topic_records(spark, sf_dir, "post").where(F.col("kafka_offset") % 2 == part)
+        records.write.mode("append").parquet(f"{root}/topic")
+        archive.archive_stream(
+            topics.stream_topic(spark, f"{root}/topic", max_files=2),
+            C.POST,
+            f"{root}/bronze",
+            f"{root}/dlq",
+            f"{root}/checkpoint",
+            ingest_ts=times.instant(clock, "timestamp"),
+            ledger=finished,
+        ).awaitTermination()
+        land()
+    if land():
+        raise AssertionError("a load with nothing new took rows")
+    landing = tables.read_archived(spark, f"{root}/landing", C.POST.bronze)
+    return landing.select(
+        "did", "rkey", "cid", _plain("created_at"), "text", _tags(), "kafka_partition", "kafka_offset",
+        "created_day",
+    )
+
+
 @query
 def staging_incremental(spark, sf_dir):
     staged = _load_in_two(spark, sf_dir, C.POST.staging.names)
@@ -717,6 +748,57 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("did", "rkey", _plain("created_at"), "text")
 
 
+def _replayed(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
+    """All versions of all records in the order in which nobody wants them, some twice: what a
+    change stream of several batches made of them, its log and its minutes."""
+    rows = views.archived(spark, sf_dir).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("created_at", "ingest_ts")}
+    )
+    rows = rows.select(*_DEDUP_COLUMNS, "langs")
+    path, number = f"{root}/topic", F.col("kafka_offset")
+    for part in (number % 2 == 1, number % 2 == 0, number % 3 == 0):
+        rows.where(part).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", _half(spark, path)).parquet(path)
+    log, minutes = f"{root}/log", f"{root}/minutes"
+    changes.change_stream(stream, log, minutes, f"{root}/checkpoint").awaitTermination()
+    return log, minutes
+
+
+@query
+def stream_latest(spark, sf_dir):
+    """The newest version of every record by the sums of a stream's changes."""
+    log, _ = _replayed(spark, sf_dir, shared_dir(spark, "changes"))
+    rows = changes.current_rows(spark.read.parquet(log), [*_DEDUP_COLUMNS, "langs"])
+    return rows.select(
+        "did", "rkey", "cid", _plain("created_at"), "kafka_partition", "kafka_offset", _plain("ingest_ts"), _tags()
+    )
+
+
+@query
+def stream_minutes_latest(spark, sf_dir):
+    """Records per minute, each counted once at the minute of its newest version, by a stream's changes."""
+    _, minutes = _replayed(spark, sf_dir, shared_dir(spark, "changes"))
+    return changes.minutes_of_records(spark, minutes).select(_plain("time"), "posts")
+
+
+@query
+def stream_safe_cursor(spark, sf_dir):
+    """Safe cursors kept by a stream of registrations and acknowledgements in several batches."""
+    root = shared_dir(spark, "safe")
+    log, path = views.delivery_log(spark, sf_dir), f"{root}/reports"
+    half = log.agg(F.max("cursor")).first()[0] // 2
+    early = F.col("cursor") < half
+    made = log.where("registered").withColumn("kind", F.lit(safe_cursors.REGISTERED))
+    done = log.where("acked").withColumn("kind", F.lit(safe_cursors.ACKED))
+    some = early & (F.col("cursor") % 3 == 0)
+    for part in (made.where(early), done.where(some), made.where(~early), done.where(~some)):
+        part.select("stream", "cursor", "kind").write.mode("append").parquet(path)
+    stream = spark.readStream.schema("stream string, cursor long, kind string")
+    stream = stream.option("maxFilesPerTrigger", max(1, _half(spark, path) // 2)).parquet(path)
+    safe_cursors.safe_cursor_stream(stream, f"{root}/safe", f"{root}/checkpoint").awaitTermination()
+    return safe_cursors.read_safe_cursors(spark, f"{root}/safe")
+
+
 # --- whole verticals ---------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -22,7 +23,9 @@ from eventmarts.operators.incremental import (
 )
 from eventmarts.operators.marts import daily_mart
 from eventmarts.session import configure
+from eventmarts.sources import tables
 from eventmarts.sources.cursors import CursorTable
+from eventmarts.sources.ledger import Ledger
 from eventmarts.sources.tables import (
     DAY_COLUMNS,
     STORED_DAYS,
@@ -34,6 +37,8 @@ from eventmarts.sources.tables import (
 from eventmarts.streaming.archive import archive_stream
 
 VERSION = ("ingest_ts", "kafka_partition", "kafka_offset", "cid")
+#: Units that one pass of a load names.
+LOAD_UNITS = 1000
 
 
 @dataclass(frozen=True)
@@ -53,6 +58,9 @@ class Paths:
     def state(self) -> str:
         return f"{self.root}/state"
 
+    def ledger(self, layer: str, event: EventType) -> str:
+        return f"{self.root}/ledger/{layer}/{event.name}"
+
 
 def _staged_shape(event: EventType) -> T.StructType:
     """Stored staging columns: the contract's, and the topic position that settles ties."""
@@ -106,6 +114,37 @@ def load_newer(
     return seen["rows"]
 
 
+def load_units(
+    spark: SparkSession,
+    source: str,
+    shape: T.StructType,
+    finished: Ledger,
+    target: str,
+    loaded: Ledger,
+    columns: Sequence[str] | None = None,
+    block_rows: int | None = None,
+    most: int = LOAD_UNITS,
+) -> int:
+    """Copy the units that ``finished`` has and ``loaded`` has not, then record them; gives the rows.
+
+    Each unit keeps its folder's name in the target, so a load that died is put right by the next,
+    also if more units are finished by then.  No clock is asked: a unit counts once it is
+    recorded, whatever its arrival time, so the writer of the source may run meanwhile, and any
+    unit it finishes too late for this load is in the next.  At most ``most`` units are named at a
+    time, and only their folders are listed.
+    """
+    rows = 0
+    while units := finished.pending(loaded, most):
+        named = [(u.unit, u.day) for u in units if u.day is not None]
+        if named:
+            fresh = tables.read_units(spark, source, shape, named)
+            if columns is not None:
+                fresh = fresh.select(*columns, *STORED_DAYS, "batch")
+            rows += tables.copy_units(fresh, target, block_rows=block_rows)
+        loaded.add(units)
+    return rows
+
+
 def refresh_mart(
     spark: SparkSession,
     paths: Paths,
@@ -143,6 +182,30 @@ def mart_window(
     return rewindow_start(high_water(mart, "day"), rewindow_days)
 
 
+def land_and_stage(
+    spark: SparkSession,
+    event: EventType,
+    paths: Paths,
+    ledgers: dict[str, Ledger],
+    block_rows: int | None = None,
+) -> dict:
+    """Load what bronze has finished into landing, and that into staging; totals come from the ledgers."""
+    bronze, landing, staging = (paths.table(layer, event) for layer in ("bronze", "landing", "staging"))
+    landed = load_units(
+        spark, bronze, event.bronze, ledgers["bronze"], landing, ledgers["landing"], block_rows=block_rows
+    )
+    columns = _staged_shape(event).names
+    staged = load_units(
+        spark, landing, event.bronze, ledgers["landing"], staging, ledgers["staging"], columns
+    )
+    return {
+        "bronze_total": ledgers["bronze"].totals()[0],
+        "landed_this_run": landed,
+        "landing_total": ledgers["landing"].totals()[0],
+        "staged_this_run": staged,
+    }
+
+
 def run_vertical(
     spark: SparkSession,
     event: EventType,
@@ -161,7 +224,7 @@ def run_vertical(
     failed blocking check raises and leaves the steps after it undone.
     """
     configure(spark)
-    state = CursorTable(spark, paths.state)
+    ledgers = {layer: Ledger(spark, paths.ledger(layer, event)) for layer in ("bronze", "landing", "staging")}
     summary: dict = {}
     checkpoint = f"{paths.root}/checkpoints/archive-{event.name}"
     archive_stream(
@@ -172,25 +235,9 @@ def run_vertical(
         checkpoint,
         ingest_ts=ingest_ts,
         summary=summary,
+        ledger=ledgers["bronze"],
     ).awaitTermination()
-
-    bronze = read_bronze(spark, paths, event, missing_ok=True)
-    summary["bronze_total"] = bronze.count()
-    summary["landed_this_run"] = load_newer(
-        bronze,
-        paths.table("landing", event),
-        state,
-        f"landing-{event.name}",
-        now,
-        landing_block_rows,
-    )
-    landing = read_landing(spark, paths, event)
-    summary["landing_total"] = landing.count()
-    # The days are kept, not computed again, so the mark prunes landing's folders.
-    stored = landing.select(*_staged_shape(event).names, *STORED_DAYS)
-    summary["staged_this_run"] = load_newer(
-        stored, paths.table("staging", event), state, f"staging-{event.name}", now
-    )
+    summary |= land_and_stage(spark, event, paths, ledgers, landing_block_rows)
 
     staged = read_staged_versions(spark, paths, event)
     required = ["did", "rkey", "cid", "created_at"]
@@ -199,7 +246,7 @@ def run_vertical(
         [
             checks.null_rate_of_versions(staged, VERSION, f"staging-{event.name}"),
             checks.not_null_result(staged, required, f"staging-{event.name}"),
-            checks.freshness(bronze, now, f"bronze-{event.name}"),
+            checks.freshness_of(spark, ledgers["bronze"].totals()[1], now, f"bronze-{event.name}"),
         ]
     )
 

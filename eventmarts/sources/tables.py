@@ -102,6 +102,41 @@ def write_unit(
     return seen.get
 
 
+def copy_units(
+    rows: DataFrame,
+    path: str,
+    unit: str = "batch",
+    partition_by: Sequence[str] = DAY_COLUMNS,
+    block_rows: int | None = None,
+) -> int:
+    """Write rows into the folders of the units they come from; gives their count, for reports.
+
+    ``rows`` has the unit's name in a column.  The folders are replaced whole, so units that a
+    lost driver left half copied are right after a retry, whatever other units the retry takes.
+    """
+    seen, folders = Observation(), (*partition_by, unit)
+    by_time = ["created_at"] if "created_at" in rows.columns else []
+    out = rows.hint("rebalance", *folders).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = out.sortWithinPartitions(*folders, *by_time).write.mode("overwrite")
+    if block_rows is not None:
+        writer = writer.option("maxRecordsPerFile", block_rows)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+    return seen.get["rows"]
+
+
+def read_units(
+    spark: SparkSession, path: str, schema: T.StructType, units: Sequence[tuple[str, date]], unit: str = "batch"
+) -> DataFrame:
+    """Whole units of an archived table, with their names; no other folder is listed."""
+    full = T.StructType(
+        [T.StructField(f.name, f.dataType, True) for f in schema.fields]
+        + [T.StructField(c, T.DateType(), True) for c in STORED_DAYS]
+        + [T.StructField(unit, T.StringType(), True)]
+    )
+    folders = [f"{path}/ingest_day={day.isoformat()}/{unit}={name}" for name, day in units]
+    return spark.read.schema(full).option("basePath", path).parquet(*folders)
+
+
 def with_day_columns(rows: DataFrame) -> DataFrame:
     """Add the day of arrival, by which tables are laid out, and the day of the event."""
     return rows.withColumn("ingest_day", F.to_date("ingest_ts")).withColumn(

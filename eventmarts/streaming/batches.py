@@ -28,9 +28,11 @@ def start(
     *,
     drain: bool = True,
     every_seconds: float = FLUSH_SECONDS,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Start a job: ``drain`` reads what is there now and stops; otherwise a batch per interval."""
-    writer = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.outputMode(mode).foreachBatch(each_batch)
+    writer = writer.option("checkpointLocation", checkpoint)
     if drain:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{every_seconds} seconds").start()
