@@ -385,6 +385,8 @@ def all_oracles() -> dict[str, str]:
               (select avg(n) from days where day < (select max(day) from days)), false""",
     }
     twins["chain_bronze"] = twins["project_posts"]
+    twins["mart_by_tag_mergeable"] = twins["mart_by_tag_daily"]
+    twins["mart_by_subject_mergeable"] = twins["mart_by_subject_daily_likes"]
     twins["landing_units"] = twins["stream_archive"]
     twins["stream_latest"] = twins["dedup_latest"]
     twins["stream_minutes_latest"] = twins["events_per_minute"]

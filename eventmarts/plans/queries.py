@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from eventmarts import contracts as C
 from eventmarts.functions import json_fields as J
 from eventmarts.functions import times
-from eventmarts.operators import checks, dedup, incremental, marts, panels, progress, routing
+from eventmarts.operators import checks, dedup, distinct, incremental, marts, panels, progress, routing
 from eventmarts.operators import validation
 from eventmarts.plans import compaction, vertical
 from eventmarts.plans import event_views as views
@@ -136,6 +136,27 @@ def mart_rollup(spark, sf_dir):
     return marts.rollup(marts.posts_by_lang(_latest(spark, sf_dir)), "posts")
 
 
+def _in_batches(spark: SparkSession, records: DataFrame, rows, group: str) -> distinct.DistinctMart:
+    """A mart of day sets built from three batches of records, each of which touches every day."""
+    mart = distinct.DistinctMart(spark, shared_dir(spark, "day-sets"), group)
+    for part in range(3):
+        mart.add(rows(records.where(F.pmod(F.xxhash64(*C.KEY), F.lit(3)) == part)), f"{part:04d}")
+    return mart
+
+
+@query
+def mart_by_tag_mergeable(spark, sf_dir):
+    """The daily mart from batches that add to its days without reading them."""
+    return _in_batches(spark, _latest(spark, sf_dir), marts.lang_rows, "lang").totals("posts", "authors")
+
+
+@query
+def mart_by_subject_mergeable(spark, sf_dir):
+    likes = dedup.latest_per_key(views.subjects(spark, sf_dir, "click", "subject_uri"))
+    mart = _in_batches(spark, likes, lambda r: marts.subject_rows(r, "subject_uri"), "subject_uri")
+    return mart.totals("likes", "likers")
+
+
 @query
 def mart_rewindow(spark, sf_dir):
     """Trailing days of the mart recomputed over rows that arrive late or are dated ahead."""
