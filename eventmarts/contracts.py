@@ -25,6 +25,8 @@ UNKNOWN_COLLECTION = "unknown"
 UNDETERMINED_LANG = "und"
 TOPIC_PARTITIONS = 6
 FLUSH_SECONDS = 5
+FLUSH_ROWS = 10_000
+RUN_ROWS = 500_000
 LANDING_BLOCK_ROWS = 50_000
 FRESHNESS_MAX_LAG_SECONDS = 86_400
 VOLUME_MIN_FRACTION = 0.25

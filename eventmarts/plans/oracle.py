@@ -356,6 +356,13 @@ def all_oracles() -> dict[str, str]:
             case when reason = 'missing or non-int time_us' then 'missing_time_us' else topic end as label,
             count(*) as events from routed where route <> 'skip' group by 1, 2""",
         "realtime_mart": f"{_D} select did, rkey, cid, created_at, text, {_TAGS} as langs from d",
+        "stream_flush": """with sizes as (select count(*) as n, greatest(1, count(*) // 7) as b,
+                                       greatest(1, count(*) // 2) as c from events),
+            runs as (select n, b, c, unnest(range(0, 3)) as run from sizes),
+            ends as (select n, b, run, run * c as low, least(n, (run + 1) * c) as high from runs where run * c < n),
+            cuts as (select n, run, low, high, b, unnest(range(low, high, b)) as first from ends)
+            select cast(row_number() over (order by first) - 1 as integer) as batch,
+              least(high - first, b) as records, least(high - first, b) as offsets, n as all_offsets from cuts""",
         "stream_minutes": """select date_trunc('minute', ts) as time, count(*) as posts
             from events group by 1""",
         "stream_dedup": """select cast(user_id as varchar) as did, cast(event_id as varchar) as rkey,

@@ -18,7 +18,7 @@ from eventmarts.operators import validation
 from eventmarts.plans import compaction, vertical
 from eventmarts.plans import event_views as views
 from eventmarts.session import configure, shared_dir
-from eventmarts.sources import ledger, raw, tables, topics
+from eventmarts.sources import bounded, ledger, raw, tables, topics
 from eventmarts.sources.cursors import CursorTable
 from eventmarts.streaming import archive, batches, changes, ingest, realtime, safe_cursors
 
@@ -608,6 +608,27 @@ def stream_archive(spark, sf_dir):
     )
 
 
+@query
+def stream_flush(spark, sf_dir):
+    """A topic archived in batches of a seventh of its rows, in runs that end at half of them."""
+    root = shared_dir(spark, "flush")
+    path = _topic(spark, sf_dir, root, C.POST)
+    total = topics.read_topic(spark, path).count()
+    for _ in range(3):
+        rows = bounded.stream_bounded(
+            spark, path, f"{root}/log", batch_rows=max(1, total // 7), run_rows=max(1, total // 2), wait_seconds=0.5
+        )
+        job = archive.archive_stream(
+            rows, C.POST, f"{root}/bronze", f"{root}/dlq", f"{root}/checkpoint", drain=False, every_seconds=0
+        )
+        bounded.drain_bounded(job, idle_seconds=3)
+    bronze = spark.read.parquet(f"{root}/bronze")
+    counted = bronze.groupBy(F.substring_index("batch", "-", -1).cast("int").alias("batch")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("kafka_offset").alias("offsets")
+    )
+    return counted.withColumn("all_offsets", F.lit(bronze.select("kafka_offset").distinct().count()).cast("long"))
+
+
 @query
 def stream_dlq_split(spark, sf_dir):
     """Good and bad records of a stream counted from what was written to either table."""
