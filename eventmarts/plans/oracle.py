@@ -394,6 +394,8 @@ def all_oracles() -> dict[str, str]:
     twins["chain_bronze"] = twins["project_posts"]
     twins["mart_by_tag_mergeable"] = twins["mart_by_tag_daily"]
     twins["mart_by_subject_mergeable"] = twins["mart_by_subject_daily_likes"]
+    twins["mart_audited"] = twins["mart_incremental_upsert"]
+    twins["dedup_bucketed"] = twins["compact_by_day"] = twins["dedup_latest"]
     twins["landing_units"] = twins["stream_archive"]
     twins["stream_latest"] = twins["dedup_latest"]
     twins["stream_minutes_latest"] = twins["events_per_minute"]

@@ -15,10 +15,10 @@ from eventmarts.functions import json_fields as J
 from eventmarts.functions import times
 from eventmarts.operators import checks, dedup, distinct, incremental, marts, panels, progress, routing
 from eventmarts.operators import validation
-from eventmarts.plans import compaction, vertical
+from eventmarts.plans import audited, compaction, vertical
 from eventmarts.plans import event_views as views
 from eventmarts.session import configure, shared_dir
-from eventmarts.sources import bounded, ledger, raw, tables, topics
+from eventmarts.sources import bounded, ledger, published, raw, tables, topics
 from eventmarts.sources.cursors import CursorTable
 from eventmarts.streaming import archive, batches, changes, ingest, realtime, safe_cursors
 
@@ -111,6 +111,41 @@ def compact_table(spark, sf_dir):
     return current.select(*_DEDUP_COLUMNS)
 
 
+@query
+def dedup_bucketed(spark, sf_dir):
+    """The newest version of every record of a table stored by author, without a shuffle."""
+    path = shared_dir(spark, "by-author")
+    name = "by_author_" + path.rsplit("-", 1)[1]
+    stored = dedup.write_by_author(views.archived(spark, sf_dir), path, name, buckets=8)
+    return dedup.latest_per_key(stored).select(*_DEDUP_COLUMNS, _tags())
+
+
+@query
+def compact_by_day(spark, sf_dir):
+    """An archive compacted day by day: first its early days, then the rest and a day that changed."""
+    root = shared_dir(spark, "days")
+    rows = tables.with_day_columns(views.archived(spark, sf_dir).select(*_DEDUP_COLUMNS, "langs"))
+    shape = T.StructType([f for f in rows.schema.fields if f.name not in tables.STORED_DAYS])
+    finished, compacted = ledger.Ledger(spark, f"{root}/finished"), ledger.Ledger(spark, f"{root}/compacted")
+    table = audited.archive_table(spark, f"{root}/table", shape)
+
+    def arrive(part: DataFrame, key: str) -> None:
+        seen = tables.write_unit(part, f"{root}/in", "batch", key, tables.DAY_COLUMNS, days=F.collect_set("ingest_day"))
+        finished.add([ledger.Unit(key, day, 0) for day in seen["days"]], key)
+
+    def compact(before: date) -> list[date]:
+        return audited.compact_days(spark, f"{root}/in", shape, finished, compacted, table, before)
+
+    number, early = F.col("kafka_offset"), F.col("ingest_day") < F.lit(HALFWAY.date())
+    arrive(rows.where(early | (number % 2 == 0)), "a")
+    compact(HALFWAY.date())
+    arrive(rows.where(~early & (number % 2 == 1)), "b")
+    compact(date.max)
+    if compact(date.max):
+        raise AssertionError("a day without new rows was written again")
+    return dedup.latest_per_key(table.read()).select(*_DEDUP_COLUMNS, _tags())
+
+
 # --- marts -------------------------------------------------------------------------------
 
 
@@ -186,6 +221,31 @@ def mart_incremental_upsert(spark, sf_dir):
     return tables.read_mart(spark, path, C.POST.mart)
 
 
+@query
+def mart_audited(spark, sf_dir):
+    """As above, each version checked as it is written; one that fails is never seen."""
+    table = published.PublishedTable(spark, shared_dir(spark, "audited"), C.POST.mart)
+    rows = views.archived_late(spark, sf_dir)
+
+    def refresh(arrived: DataFrame, lang: Column) -> None:
+        def recompute(start):
+            return marts.posts_by_lang(incremental.latest_in_window(arrived, start)).withColumn("lang", lang)
+
+        audited.refresh_audited(table, C.POST, recompute, C.REWINDOW_DAYS)
+
+    refresh(rows.where(F.col("ingest_ts") <= times.instant(HALFWAY, "timestamp_ntz")), F.col("lang"))
+    before = table.days()
+    try:
+        refresh(rows, F.nullif("lang", F.lit(C.UNDETERMINED_LANG)))
+    except checks.CheckFailed:
+        if table.days() != before:
+            raise AssertionError("a failed check changed the table") from None
+    else:
+        raise AssertionError("nulls passed the checks")
+    refresh(rows, F.col("lang"))
+    return table.read()
+
+
 # --- incremental loads -------------------------------------------------------------------
 
 _BRONZE_NTZ = T.StructType(
