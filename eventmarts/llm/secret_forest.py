@@ -29,6 +29,9 @@ LEAST_SCORE = 0.5
 #: Words of these lengths that the corpus has at least so often are dictionary words.
 WORD_SIZES = (4, 12)
 LEAST_COUNT = 20
+#: Letters of a run that are looked at together, and candidates that make their value a hot one.
+WINDOW = 256
+HOT_ROWS = 1000
 
 # Words that name credentials, and words that name other long tokens.
 CREDENTIAL_WORDS = "token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|auth|bearer|credential"
@@ -105,21 +108,56 @@ def dictionary(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     return words.filter(F.col("word").isNotNull()).groupBy("word").count().filter(F.col("count") >= least).select("word")
 
 
-def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Adds ``dictionary``: the share of a candidate's characters inside dictionary words."""
+def covered_letters(runs: DataFrame, words: DataFrame) -> DataFrame:
+    """(run, letters): how many letters of each distinct run of lower-case letters lie in dictionary words.
+
+    A run is first cut into windows that overlap by a word's length less one, so the work for a run
+    grows with its length, and rows carry a window's words, never the run.
+    """
     low, high = WORD_SIZES
-    distinct = found.select("value").distinct()
-    places = distinct.select("value", F.lower("value").alias("v"), F.explode(F.sequence(F.lit(1), F.length("value"))).alias("at"))
-    parts = places.select("value", "at", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("n"), "v").filter(
-        F.col("at") + F.col("n") - 1 <= F.length("v")
-    ).select("value", "at", "n", F.substring("v", F.col("at"), F.col("n")).alias("word"))
+    numbered = runs.withColumn("run_id", F.md5("run"))
+    starts = F.explode(F.sequence(F.lit(0), F.length("run") - low, F.lit(WINDOW)))
+    windows = numbered.select("run_id", starts.alias("begin"), "run").select(
+        "run_id", "begin", F.substring("run", F.col("begin") + 1, F.lit(WINDOW + high - 1)).alias("part")
+    )
+    places = windows.select("run_id", "begin", "part", F.explode(F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.length("part")))).alias("at"))
+    parts = places.select("*", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("n")).filter(
+        F.col("at") + F.col("n") - 1 <= F.length("part")
+    )
     covered = (
-        parts.join(words, "word")
-        .select("value", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at"))
-        .groupBy("value")
-        .agg((F.count_distinct("at") / F.first(F.length("value"))).alias("dictionary"))
+        parts.select("run_id", (F.col("begin") + F.col("at")).alias("at"), "n", F.substring("part", F.col("at"), F.col("n")).alias("word"))
+        .join(words, "word")
+        .select("run_id", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("at"))
+        .groupBy("run_id")
+        .agg(F.count_distinct("at").alias("letters"))
+    )
+    return numbered.join(covered, "run_id").select("run", "letters")
+
+
+def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds ``dictionary``: the share of a candidate's characters inside dictionary words.
+
+    Words are of letters, so runs of letters are looked at, each distinct one once.  A value that
+    stands in more than ``HOT_ROWS`` candidates has its answer broadcast, of which there are few;
+    the others' answers are joined.
+    """
+    low, _ = WORD_SIZES
+    values = found.groupBy("value").agg(F.count("*").alias("rows")).withColumn("value_id", F.md5("value"))
+    pieces = values.select("value_id", F.explode(F.regexp_extract_all(F.lower("value"), F.lit(f"[a-z]{{{low},}}"), F.lit(0))).alias("run"))
+    pieces = pieces.groupBy("value_id", "run").count()
+    letters = covered_letters(pieces.select("run").distinct(), words)
+    each = pieces.join(letters, "run").groupBy("value_id").agg(F.sum(F.col("letters") * F.col("count")).alias("letters"))
+    shares = written(
+        values.join(each, "value_id", "left").select(
+            "value", "rows", (F.coalesce("letters", F.lit(0)) / F.length("value")).alias("dictionary")
+        ),
+        "secret-coverage",
     )
-    return found.join(covered, "value", "left").fillna(0.0, ["dictionary"])
+    hot = small_side(shares.filter(F.col("rows") > HOT_ROWS).select("value", F.col("dictionary").alias("of_hot")), F.octet_length("value") + 64)
+    told = found.join(hot, "value", "left")
+    cold = shares.filter(F.col("rows") <= HOT_ROWS).select("value", "dictionary")
+    rest = told.filter(F.col("of_hot").isNull()).drop("of_hot").join(cold, "value")
+    return rest.unionByName(told.filter(F.col("of_hot").isNotNull()).withColumnRenamed("of_hot", "dictionary"))
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -171,7 +209,8 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None, rows: int = TRA
     empty path; a null doc_id is kept; other columns are not read.
     """
     words = small_side(written(dictionary(docs), "secret-words"), 64)
-    found = written(with_features(candidates(docs), words), "secret-candidates")
+    found = written(candidates(docs), "secret-found")
+    found = written(with_features(found, words), "secret-candidates")
     if labelled is None:
         told = found.withColumn("label", weak_label())
     else:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 from eventmarts.llm import secret_forest as S
 
@@ -112,3 +113,34 @@ def test_short_and_unquoted_secrets_are_masked(make_docs):
     out = {r.doc_id: r.text for r in S.mask_secrets(make_docs(rows)).collect()}
     for i, (text, value) in enumerate(shapes):
         assert out[1000 + i] == text.replace(value, S.MASK)
+
+
+def test_coverage_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "WINDOW", 7)
+    monkeypatch.setattr(S, "HOT_ROWS", 3)
+    rng = random.Random(9)
+    words = ["abcd", "cdef", "defghi", "aaaa", "lmnopqrstuvw", "notthere"]
+    values = ["".join(rng.choice([*words, "ABCD", "x", "9", "-", "é", "aaaaaaa", "lmnopqrstuv"]) for _ in range(rng.randrange(1, 9))) for _ in range(80)]
+    values += ["1234567", "abc", "hotabcdvalue"] + ["hot-9-nothing"] * 5 + ["hotabcdvalue"] * 9
+
+    def share(value):
+        low, covered = value.lower(), set()
+        for w in words:
+            for at in range(len(low)):
+                if low.startswith(w, at):
+                    covered |= set(range(at, at + len(w)))
+        return round(len(covered) / len(value), 9)
+
+    found = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "at int, value string")
+    got = S.coverage(found, spark.createDataFrame([(w,) for w in words], "word string")).collect()
+    assert sorted((r["at"], round(r["dictionary"], 9)) for r in got) == [(i, share(v)) for i, v in enumerate(values)]
+
+
+def test_one_very_long_candidate(make_docs):
+    rng = random.Random(2)
+    blob = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(100_000))
+    rows = corpus(rng, 30)[0] + [(900, f"data {blob} end"), (901, "token " + "therand" * 15_000)]
+    began = time.monotonic()
+    found = {r["doc_id"]: len(r["value"]) for r in S.findings(make_docs(rows)).collect()}
+    assert found[900] == 100_000 and found[901] == 105_000
+    assert time.monotonic() - began < 60
