@@ -78,7 +78,6 @@ def mix(
     weights: Mapping[str, float] | None = None,
     size: float = 1.0,
     seed: int = SEED,
-    by_text: bool = True,
 ) -> DataFrame:
     """Copies of the documents in random order, so that sources have their target shares.
 
@@ -86,16 +85,15 @@ def mix(
     source counts as the source ``''``; null and empty texts are copied like any other of their
     source; rows that repeat an id and a text get the same number of copies each, rows that share
     only the id, or only a null id, are drawn each for itself; an empty table gives an empty
-    result.  Other columns of ``docs`` are left out.  Without ``by_text`` the draw is that of the
-    SQL twin, by the id alone, and all rows of a null id share one.
+    result.  Other columns of ``docs`` are left out.
     """
     # Equal rows have equal order keys; by where they were read they still go to many tasks.
     docs = docs.select(*DOCUMENT_COLUMNS, F.spark_partition_id().alias("salt"))
-    text_hash = F.xxhash64("text")
+    text_hash = F.md5(F.coalesce("text", F.lit("")))
     rates = written(with_steps(source_rates(docs, weights, size)), "mix-rates").select(
         F.col("source").alias("rate_source"), F.col("rate").alias("source_rate"), "steps"
     )
-    drawn = uniform(seed, F.lit("copies"), F.col("doc_id"), *([text_hash] if by_text else []))
+    drawn = uniform(seed, F.lit("copies"), F.col("doc_id"), text_hash)
     counted = (
         docs.join(small_side(rates, 4096), F.coalesce("source", F.lit("")) == F.col("rate_source"))
         .withColumn("draw", drawn)
@@ -103,7 +101,7 @@ def mix(
         .filter(F.col("copies") > 0)
     )
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), id_text, text_hash.cast("string"), "copy"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), id_text, text_hash, "copy"))
     return (
         counted.select(*DOCUMENT_COLUMNS, "salt", "source_rate", "copies", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
         .withColumn("order_key", order)
@@ -115,7 +113,7 @@ def mix(
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs, by_text=False).withColumn("source_rate", F.round("source_rate", 6))
+    return mix(docs).withColumn("source_rate", F.round("source_rate", 6))
 
 
 ORACLE = f"""
@@ -136,7 +134,7 @@ steps as (
   select source, k, sum(exp(-rate + k * ln(rate) - log_factorial)) over (partition by source order by k
     rows unbounded preceding) as step from logs),
 drawn as (
-  select d.*, r.rate, (('0x' || substr(md5('{SEED}:copies:' || coalesce(cast(doc_id as varchar), 'null')), 1, 13))
+  select d.*, r.rate, (('0x' || substr(md5('{SEED}:copies:' || coalesce(cast(doc_id as varchar), 'null') || ':' || md5(coalesce(text, ''))), 1, 13))
     ::bigint) / pow(2.0, 52) as draw
   from documents d join rates r on coalesce(d.source, '') = r.source),
 counted as (
