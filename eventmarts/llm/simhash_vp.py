@@ -8,23 +8,23 @@ inequality d - r/2 <= mu means inside and d + r/2 > mu outside, and a fingerprin
 goes both ways.  Each shard is searched by the same kind of tree down to small leaves, compared
 exactly, and reduced at once to one edge per linked fingerprint, so no group is ever spelled out as
 pairs.  The edges of all shards are joined to components.
+
+``keep_one`` adds the links of similar shingle sets, which fingerprints are too coarse to find.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmarts.llm.common import DOCUMENT_COLUMNS, written
 from eventmarts.llm.components import stars
+from eventmarts.llm.shingle_links import band_keys, set_id, shingle_hashes, shingle_set, similar
 
-SHINGLE = 3
-SEED = 42
 MAX_BITS = 2
 #: Fingerprints to which the tree's shape is fitted; all fingerprints are then put in and searched.
 SAMPLE = 16_384
@@ -37,27 +37,17 @@ TRIES = 8
 WORTH = 0.9
 
 
+def _bits(hashes: np.ndarray) -> int:
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str) -> int:
     """The 64-bit SimHash of a text's word shingles, repeats included."""
-    from xxhash import xxh64_intdigest
-
-    words = text.encode().lower().split()  # of bytes: lower-cases A-Z, splits at ASCII white space
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.append(0, ends[:-1] + 1)
-    if len(words) > SHINGLE:
-        starts, ends = starts[: 1 - SHINGLE], ends[SHINGLE - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(starts), 1 << 14):
-        part = slice(at, at + (1 << 14))
-        cut = [joined[a:b] for a, b in zip(starts[part].tolist(), ends[part].tolist(), strict=True)]
-        hashes = np.fromiter(map(xxh64_intdigest, cut, repeat(SEED)), np.uint64, len(cut))
-        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
+    return _bits(shingle_hashes(text)[0])
 
 
 def _distances(fps: np.ndarray, point: np.uint64) -> np.ndarray:
@@ -150,20 +140,39 @@ def linked(fps: np.ndarray, max_bits: int) -> np.ndarray:
     return parent
 
 
-def _classes(docs: DataFrame, max_bits: int, row_hash: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp, row_hash if given) of each row, and (fp, root, component_id) of each fingerprint."""
-    more = [] if row_hash is None else [row_hash.alias("row_hash")]
-    names = ["doc_id", "fp", "row_hash"][: 2 + len(more)]
+def _prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp) of each row."""
 
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter(
-                (fingerprint(t.as_py() or "") for t in batch.column(1)), np.uint64, batch.num_rows
-            ).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names)
+            fps = np.fromiter((fingerprint(t.as_py() or "") for t in batch.column(1)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    schema = ", ".join(f"{name} bigint" for name in names)
-    prints = written(docs.select("doc_id", "text", *more).mapInArrow(fingerprints, schema), "simhash")
+    return written(docs.select("doc_id", "text").mapInArrow(fingerprints, "doc_id bigint, fp bigint"), "simhash")
+
+
+def _row_prints(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_hash, fp, sid, bands) of each row of (doc_id, row_hash, text)."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, sids, bands = np.empty(batch.num_rows, np.uint64), np.empty(batch.num_rows, np.int64), []
+            for n, text in enumerate(batch.column(2)):
+                hashes, words = shingle_hashes(text.as_py() or "")
+                shingles = shingle_set(hashes, words)
+                fps[n], sids[n] = _bits(hashes), set_id(shingles)
+                bands.append(band_keys(shingles))
+            columns = [pa.array(fps.view(np.int64)), pa.array(sids), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *columns], ["doc_id", "row_hash", "fp", "sid", "bands"]
+            )
+
+    schema = "doc_id bigint, row_hash bigint, fp bigint, sid bigint, bands array<bigint>"
+    return written(docs.select("doc_id", "row_hash", "text").mapInArrow(prints, schema), "row-prints")
+
+
+def _classes(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) of each fingerprint of ``prints`` (doc_id, fp)."""
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     n = firsts.count()
     sample = firsts.select("fp").orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()
@@ -190,7 +199,7 @@ def _classes(docs: DataFrame, max_bits: int, row_hash: Column | None = None) ->
     roots = stars(edges).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     rooted = firsts.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return prints, written(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-classes")
+    return written(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-classes")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -201,26 +210,33 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     is kept and is never a component's id unless all its ids are null; repeated rows are returned
     as often; columns other than doc_id and text are not read; an empty table gives an empty result.
     """
-    prints, classes = _classes(docs, max_bits)
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    prints = _prints(docs)
+    return prints.join(_classes(prints, max_bits), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The document columns of exactly one row of each near-duplicate group.
 
-    It is the row of the smallest doc_id, null ids last, and among rows of that id the one of the
-    smallest hash of all document columns; so a group of null ids keeps one row too, and rows that
-    share an id but not a group are told apart by their hashes.
+    Two texts are linked by fingerprints that differ in ``max_bits`` or less, or by sets of
+    five-word shingles with a Jaccard similarity of 0.8 or more (``shingle_links``); texts without
+    words are one group.  What is kept is the row of the smallest doc_id, null ids last, and among
+    rows of that id the one of the smallest hash of all document columns; so a group of null ids
+    keeps one row too, and rows that share an id but not a group are told apart by their hashes.
     """
-    docs = docs.select(*DOCUMENT_COLUMNS)
-    row_hash = F.xxhash64(*DOCUMENT_COLUMNS)
-    prints, classes = _classes(docs, max_bits, row_hash)
+    docs = docs.select(*DOCUMENT_COLUMNS, F.xxhash64(*DOCUMENT_COLUMNS).alias("row_hash"))
+    prints = _row_prints(docs)
+    rooted = prints.select("fp", "sid").distinct().join(_classes(prints, max_bits).select("fp", "root"), "fp")
+    rooted = written(rooted.select("root", "sid").distinct(), "simhash-sets")
+    least = rooted.groupBy("root").agg(F.min("sid").alias("b"), F.max("sid").alias("most")).filter("b <> most")
+    by_bits = rooted.join(least, "root").filter("sid <> b").select(F.col("sid").alias("a"), "b")
+    roots = stars(by_bits.unionByName(similar(docs.select("row_hash", "text"), prints)))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_hash")).alias("first")
-    firsts = prints.groupBy("fp").agg(first).join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    firsts = prints.groupBy("sid").agg(first).join(roots.withColumnRenamed("a", "sid"), "sid", "left")
+    firsts = firsts.groupBy(F.coalesce("b", "sid").alias("root")).agg(F.min("first").alias("first"))
     kept = written(firsts.select(F.col("first.doc_id").alias("kept"), F.col("first.row_hash").alias("kept_hash")), "simhash-kept")
     own = F.col("doc_id").eqNullSafe(F.col("kept")) & (F.col("row_hash") == F.col("kept_hash"))
     # Only equal rows are left with the same id and hash.
-    return docs.withColumn("row_hash", row_hash).join(kept, own, "left_semi").dropDuplicates(["doc_id", "row_hash"]).drop("row_hash")
+    return docs.join(kept, own, "left_semi").dropDuplicates(["doc_id", "row_hash"]).drop("row_hash")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
