@@ -132,7 +132,7 @@ def similar(docs: DataFrame, prints: DataFrame) -> DataFrame:
     links = tested = spark.createDataFrame([], "a bigint, b bigint")
     rounds, found = 0, 1
     while found or rounds < 2:
-        roots = stars(links).select(F.col("a").alias("sid"), F.col("b").alias("root"))
+        roots = (stars(links) if rounds else links).select(F.col("a").alias("sid"), F.col("b").alias("root"))
         members = buckets.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         # The first round has one leader wherever a group meets, so its members are compared once; the others draw it.
         draw = F.xxhash64("key", F.lit(rounds)) if rounds else F.lit(0).cast("bigint")
