@@ -4,8 +4,8 @@ Fingerprints of 64 bits are too coarse for that similarity (such texts differ in
 radius at which a metric tree prunes nothing), so candidates meet in the buckets of banded minimum
 hashes and every link is checked on the whole sets.  A bucket is never spelled out as pairs: its
 members are compared with one of them, the leader, and what the links found join is not compared
-again.  Rounds with other leaders follow for buckets that still hold several components, until a
-round finds no link.
+again.  Rounds with other leaders, and more of them, follow for buckets that still hold several
+components, until a round finds no link.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ WORDS = 5
 ALIKE = (4, 5)
 #: Two texts of similarity s share a bucket with probability 1 - (1 - s**ROWS)**BANDS, 0.998 at 0.8.
 BANDS, ROWS = 16, 5
+#: Most leaders that a bucket draws in a round; each round draws twice as many as the one before.
+DRAWS = 16
 #: Shingles whose minimum hashes are taken at a time.
 BLOCK = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -115,7 +117,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, prints: DataFrame) -> DataFrame:
-    """Links (a, b) between set ids, each of a similarity of 0.8 or more.
+    """(a, b): set ids with the smallest id they reach by links of a similarity of 0.8 or more, itself left out.
 
     ``docs`` has row_hash and text, ``prints`` row_hash, sid and bands of each row.  Equal sets
     have one id and need no link; rows without words are in no bucket; an empty table has no links.
@@ -129,23 +131,26 @@ def similar(docs: DataFrame, prints: DataFrame) -> DataFrame:
     first_rows = prints.groupBy("sid").agg(F.min("row_hash").alias("row_hash"))
     wanted = written(first_rows.join(buckets.select("sid").distinct(), "sid").select("row_hash"), "wanted-sets")
     sets = written(_sets(docs, wanted), "shingle-sets")
-    links = tested = spark.createDataFrame([], "a bigint, b bigint")
+    roots = tested = spark.createDataFrame([], "a bigint, b bigint")
     rounds, found = 0, 1
     while found or rounds < 2:
-        roots = (stars(links) if rounds else links).select(F.col("a").alias("sid"), F.col("b").alias("root"))
-        members = buckets.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        # The first round has one leader wherever a group meets, so its members are compared once; the others draw it.
-        draw = F.xxhash64("key", F.lit(rounds)) if rounds else F.lit(0).cast("bigint")
+        known = roots.select(F.col("a").alias("sid"), F.col("b").alias("root"))
+        members = buckets.join(known, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        # The first round has one leader wherever a group meets, so its members are compared once; the others draw them.
+        draws = [F.xxhash64("key", F.lit(rounds), F.lit(n)) for n in range(min(DRAWS, 1 << rounds))]
+        draws = draws if rounds else [F.lit(0).cast("bigint")]
         leaders = (
             members.groupBy("key")
             .agg(
-                F.min(F.col("sid").bitwiseXOR(draw)).alias("drawn"),
                 F.min("root").alias("low"),
                 F.max("root").alias("high"),
+                *[F.min(F.col("sid").bitwiseXOR(draw)).alias(f"drawn{n}") for n, draw in enumerate(draws)],
             )
             .filter("low <> high")
-            .select("key", F.col("drawn").bitwiseXOR(draw).alias("leader"))
-            .join(roots.select(F.col("sid").alias("leader"), F.col("root").alias("leader_root")), "leader", "left")
+            .select("key", F.explode(F.array_distinct(F.array(
+                *[F.col(f"drawn{n}").bitwiseXOR(draw) for n, draw in enumerate(draws)]
+            ))).alias("leader"))
+            .join(known.select(F.col("sid").alias("leader"), F.col("root").alias("leader_root")), "leader", "left")
             .withColumn("leader_root", F.coalesce("leader_root", "leader"))
         )
         pairs = members.join(leaders, "key").filter("root <> leader_root")
@@ -160,6 +165,7 @@ def similar(docs: DataFrame, prints: DataFrame) -> DataFrame:
         fresh = pairs.join(left, "a").join(right, "b").filter(sizes).filter(alike).select("a", "b")
         fresh = written(fresh, "similar-pairs")
         found, rounds = fresh.count(), rounds + 1
-        links = links.unionByName(fresh)
+        if found:
+            roots = stars(roots.unionByName(fresh))
         tested = tested.unionByName(pairs)
-    return links
+    return roots
