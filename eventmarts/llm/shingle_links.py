@@ -4,8 +4,8 @@ Fingerprints of 64 bits are too coarse for that similarity (such texts differ in
 radius at which a metric tree prunes nothing), so candidates meet in the buckets of banded minimum
 hashes and every link is checked on the whole sets.  A bucket is never spelled out as pairs: its
 members are compared with one of them, the leader, and what the links found join is not compared
-again.  Rounds with other leaders, and more of them, follow for buckets that still hold several
-components, until a round finds no link.
+again.  Rounds with several other leaders follow for buckets that still hold several components,
+until a round finds no link.
 """
 
 from __future__ import annotations
@@ -30,10 +30,10 @@ WORDS = 5
 ALIKE = (4, 5)
 #: Two texts of similarity s share a bucket with probability 1 - (1 - s**ROWS)**BANDS, 0.998 at 0.8.
 BANDS, ROWS = 16, 5
-#: Most leaders that a bucket draws in a round; each round draws twice as many as the one before.
+#: Leaders that a bucket draws in each round but the first.
 DRAWS = 16
 #: Shingles whose minimum hashes are taken at a time.
-BLOCK = 4096
+BLOCK = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -137,7 +137,7 @@ def similar(docs: DataFrame, prints: DataFrame) -> DataFrame:
         known = roots.select(F.col("a").alias("sid"), F.col("b").alias("root"))
         members = buckets.join(known, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         # The first round has one leader wherever a group meets, so its members are compared once; the others draw them.
-        draws = [F.xxhash64("key", F.lit(rounds), F.lit(n)) for n in range(min(DRAWS, 1 << rounds))]
+        draws = [F.xxhash64("key", F.lit(rounds), F.lit(n)) for n in range(DRAWS)]
         draws = draws if rounds else [F.lit(0).cast("bigint")]
         leaders = (
             members.groupBy("key")
