@@ -6,6 +6,7 @@ import random
 import threading
 from datetime import UTC, datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -181,6 +182,65 @@ def test_an_acknowledgement_costs_its_own_size():
     assert stored.reads <= 4 and stored.writes <= 3
 
 
+class Kept:
+    """State of one key, as a processor is given it."""
+
+    def __init__(self):
+        self.value, self.map = None, {}
+
+    def getMapState(self, *_):
+        stored = Stored()
+        stored.links = self.map
+        return stored
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("block", [1, 3, 1 << 16])
+@settings(max_examples=150, deadline=None)
+@given(batches=st.lists(st.lists(st.tuples(st.booleans(), st.integers(0, 14)), max_size=25), max_size=5))
+def test_a_batch_at_once_equals_one_report_after_the_other(block, batches):
+    stored, kept = Stored(), Kept()
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(safe_cursors, "BLOCK", block)
+        for batch in batches:
+            chain, safe = safe_cursors._Chain(stored), safe_cursors._Safe()
+            registered, acked = ([c for is_ack, c in batch if is_ack == kind] for kind in (False, True))
+            for c in sorted(registered):
+                chain.register(c)
+            for c in acked:
+                chain.ack(c)
+            head = chain.head()
+            chain.save()
+            safe.init(kept)
+            assert safe._advance(np.array(registered, np.int64), np.array(acked, np.int64)) == (head[3], head[1])
+            blocks = [np.frombuffer(kept.map[b][0], np.int64).reshape(3, -1) for b in sorted(kept.map)]
+            links = {int(c): (int(n), None if a < 0 else int(a)) for part in blocks for c, n, a in part.T}
+            assert links == {c: (k[2], k[3]) for (c,), k in stored.links.items() if c >= 0}
+
+
+def test_late_registrations_of_a_long_log_take_no_walk():
+    import time
+
+    safe, kept, n = safe_cursors._Safe(), Kept(), 200_000
+    safe.init(kept)
+    none, began = np.empty(0, np.int64), time.monotonic()
+    assert safe._advance(np.arange(n, 2 * n), none) == (None, n)
+    assert safe._advance(np.arange(n), none) == (None, 0)
+    assert safe._advance(none, np.arange(2 * n - 1)) == (2 * n - 2, 2 * n - 1)
+    assert time.monotonic() - began < 10 and len(kept.map) == 1
+
+
 def test_safe_cursors_on_a_stream(spark, tmp_path):
     batches = [
         [("a", 1, "registered"), ("a", 2, "registered"), ("b", 5, "registered"), ("a", 2, "acked"), ("c", None, "acked")],
