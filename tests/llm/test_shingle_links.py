@@ -103,6 +103,38 @@ def test_large_group_is_one(make_docs):
     assert [r.doc_id for r in S.keep_one(make_docs(rows)).collect()] == [0]
 
 
+def test_parities_differ_in_no_more_bits_than_the_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(0, 400)).astype(np.uint64) * L._MIX) for _ in range(2))
+        bits = int(np.bitwise_count((L.parities(a) ^ L.parities(b)).view(np.uint64)).sum())
+        assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+
+
+@pytest.mark.parametrize("members", [4096, 16])
+def test_links_in_a_bucket_of_many_others_are_found(make_docs, monkeypatch, members):
+    """A group with a long common passage, so that its texts meet, where only a few are alike."""
+    monkeypatch.setattr(L, "DRAWS", 1)
+    monkeypatch.setattr(L, "MEMBERS", members, raising=False)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    passage, texts = rng.choices(words, k=100), []
+    for _ in range(100):
+        texts.append(passage + rng.choices(words, k=22))
+    for own in (12, 40, 77):
+        text = list(texts[own])
+        text[rng.randrange(110, 118)] = "changed"
+        texts.append(text + ["more"])
+    texts = [" ".join(t) for t in texts]
+    groups, pairs = plain_groups(texts)
+    assert len(pairs) >= 3 and len(set(groups)) > 80
+    least = {}
+    for i, g in enumerate(groups):
+        least.setdefault(g, i)
+    kept = S.keep_one(make_docs(list(enumerate(texts)))).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(least.values())
+
+
 def test_empty_table(make_docs):
     assert S.keep_one(make_docs([])).count() == 0
 
