@@ -8,6 +8,7 @@ right at any time: by key they say which version is current, by minute how many
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator, Sequence
 from datetime import timedelta
 
@@ -28,10 +29,15 @@ from eventmarts.streaming.state import keyed_state
 VERSION = ("ingest_ts", "kafka_partition", "kafka_offset", "cid")
 #: How long a record is remembered after its last change.
 KEEP = timedelta(days=30)
+#: Parts that records are dealt into by their keys.  A part's records are one value of the state, so that it is read and
+#: written by parts and not by records; fixed for the life of a checkpoint.
+PARTS = 1 << 14
+
+_PART = T.StructType([T.StructField("records", T.BinaryType(), False)])
 
 
 class _Newest(StatefulProcessor):
-    """Remembers the current version of a key and says what a newer one changes."""
+    """Remembers the current version of each key of a part and says what newer ones change."""
 
     def __init__(
         self, keys: Sequence[str], stored: T.StructType, version: Sequence[str], keep: timedelta
@@ -41,28 +47,35 @@ class _Newest(StatefulProcessor):
         self._keep_ms = int(keep.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._current = handle.getValueState("current", self._stored, ttlDurationMs=self._keep_ms)
+        self._current = handle.getValueState("current", _PART, ttlDurationMs=self._keep_ms)
+        self._change = Row(*self._keys, *self._stored.names, "change")
 
     def _order(self, values: Sequence) -> list:
         """For comparing versions column by column; a null comes before any value."""
         return [(False,) if values[i] is None else (True, values[i]) for i in self._version]
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        newest = None
+        newest: dict[tuple, tuple] = {}
         for row in rows:
             values = tuple(row[c] for c in self._stored.names)
-            if newest is None or self._order(values) > self._order(newest):
-                newest = values
-        known = self._current.get() if self._current.exists() else None
-        if known is not None and self._order(newest) <= self._order(known):
-            return
-        self._current.update(newest)
-        if known is not None:
-            yield self._change(key, known, -1)
-        yield self._change(key, newest, 1)
-
-    def _change(self, key: tuple, values: Sequence, change: int) -> Row:
-        return Row(**dict(zip((*self._keys, *self._stored.names), (*key, *values), strict=True)), change=change)
+            record = tuple(row[c] for c in self._keys)
+            other = newest.get(record)
+            if other is None or self._order(values) > self._order(other):
+                newest[record] = values
+        now = timerValues.getCurrentProcessingTimeInMs()
+        stored = pickle.loads(self._current.get()[0]) if self._current.exists() else {}
+        # Each record goes by its own last change; the part lives as long as any of them.
+        current = {record: entry for record, entry in stored.items() if entry[0] + self._keep_ms > now}
+        for record, values in newest.items():
+            known = current[record][1] if record in current else None
+            if known is not None:
+                if self._order(values) <= self._order(known):
+                    continue
+                yield self._change(*record, *known, -1)
+            current[record] = (now, values)
+            yield self._change(*record, *values, 1)
+        if current != stored:
+            self._current.update((pickle.dumps(current, pickle.HIGHEST_PROTOCOL),))
 
     def close(self) -> None:
         pass
@@ -99,7 +112,7 @@ def changes(
     make the order total.  A record's state goes ``keep`` after its last change, by the clock of
     the cluster; a replay that comes later counts as a new record.  Of each batch of rows that a
     task reads only the newest version of a key is shuffled, so a key with a third of all rows is
-    thinned out before it meets its one task.  Start the query within ``keyed_state``.
+    thinned out before it meets its one task.  Records are remembered in ``PARTS`` parts.  Start the query within ``keyed_state``.
     """
     times = [f.name for f in events.schema.fields if isinstance(f.dataType, T.TimestampType)]
     # Moments travel as microseconds: Python would read them by its own machine's clock rules.
@@ -109,7 +122,8 @@ def changes(
     changed = (
         plain.select(*shape.names)
         .mapInArrow(_combine(keys, version), shape)
-        .groupBy(*keys)
+        .withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(PARTS)))
+        .groupBy("_part")
         .transformWithState(
             statefulProcessor=_Newest(keys, T.StructType(shape.fields[len(keys) :]), version, keep),
             outputStructType=T.StructType([*shape.fields, T.StructField("change", T.IntegerType(), False)]),

@@ -10,7 +10,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmarts import contracts as C
 from eventmarts.operators import progress
@@ -80,6 +82,37 @@ def test_a_moved_record_counts_once_and_old_versions_change_nothing(spark, tmp_p
     assert sorted(r["change"] for r in log.collect()) == [-1, 1, 1]
 
 
+def test_state_is_read_and_written_by_parts_not_by_records(spark, tmp_path, monkeypatch):
+    """One part holds all records here; each still goes by its own key, nulls too, and its own time."""
+    monkeypatch.setattr(changes, "PARTS", 1)
+    feed = Feed(spark, tmp_path)
+    for n in range(2):
+        feed.give([post(f"d{i}" if i % 7 else None, "r" if i % 3 else None, i + 500 * n, i % 5 + n, n) for i in range(400)])
+        assert (feed.current(), feed.minutes()) == expected(spark, feed.seen)
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_records_of_a_part_are_forgotten_each_by_its_own_last_change():
+    shape = T.StructType.fromDDL("v long")
+    newest, kept = changes._Newest(["k"], shape, ["v"], timedelta(milliseconds=100)), Kept()
+    newest.init(kept)
+
+    def give(now, *rows):
+        return [tuple(r) for r in newest.handleInputRows((0,), iter([Row(k=k, v=v) for k, v in rows]), Clock(now))]
+
+    assert give(0, ("a", 1), ("b", 1), ("b", 2)) == [("a", 1, 1), ("b", 2, 1)]
+    assert give(60, ("a", 1), ("b", 3)) == [("b", 2, -1), ("b", 3, 1)]
+    assert give(110, ("a", 1), ("b", 3)) == [("a", 1, 1)]
+    assert give(170, ("a", 0), ("b", 3)) == [("b", 3, 1)]
+
+
 def test_a_hot_key_is_thinned_out_before_the_shuffle(spark):
     rows = spark.range(0, 5000, 1, 4).selectExpr(
         "'a' as did", "'r' as rkey", "cast(null as string) as cid", "id as kafka_offset"
@@ -193,7 +226,7 @@ class Kept:
         stored.links = self.map
         return stored
 
-    def getValueState(self, *_):
+    def getValueState(self, *_, **__):
         return self
 
     def exists(self):
