@@ -24,7 +24,7 @@ from eventmarts.contracts import FLUSH_ROWS, FLUSH_SECONDS, RUN_ROWS, TOPIC
 
 NAME = "bounded_topic"
 #: Rows of a file that one task reads, at most.
-SLICE_ROWS = 1 << 20
+SLICE_ROWS = 1 << 16
 
 
 @dataclass

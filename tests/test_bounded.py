@@ -101,3 +101,16 @@ def test_on_a_stream(spark, tmp_path, cap, batches):
     assert run() == 100 - sum(batches)
     assert sorted(o for s in sizes for o in s) == list(range(100))
     assert spark.read.parquet(f"{tmp_path}/in").agg(F.count("*")).first()[0] == 100
+
+
+def test_a_large_batch_is_read_by_many_tasks(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    (tmp_path / "in").mkdir()
+    pq.write_table(pa.table({"n": range(1_000_000)}), tmp_path / "in" / "a.parquet")
+    order = bounded._Order(f"file://{tmp_path}/in", f"file://{tmp_path}/log")
+    order.look()
+    slices = order.slices(10, 900_010)
+    assert len(slices) >= 12 and sum(s.take for s in slices) == 900_000
+    assert [s.skip for s in slices] == [10 + sum(t.take for t in slices[:i]) for i in range(len(slices))]
