@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,15 +52,18 @@ def validate_flat(records: DataFrame, event: EventType, payload: str = "payload"
     ).withColumn(
         "_created", times.value_to_timestamp(F.col("_created_kind"), F.col("_created_text"))
     )
-    breaches = _breaches(event)
-    broken = reduce(lambda a, b: a | b, [bad for bad, _ in breaches])
-    named = F.concat_ws(",", *[F.when(bad, name) for bad, name in breaches])
+    # A step for each breach, so that each is looked at once; one decision over all of them has to name them again.
+    checked, found = timed, []
+    for n, (bad, name) in enumerate(_breaches(event)):
+        found.append(f"_breach{n}")
+        checked = J.hold(checked, **{found[-1]: F.when(bad, name)})
+    named = F.concat_ws(",", *found)
     error = (
         F.when(F.col("_value").isNull() | F.is_variant_null("_value"), F.lit(ERROR_EMPTY_PAYLOAD))
         .when(F.col("_members").isNull(), F.lit("type:record"))
-        .when(broken, named)
+        .when(named != "", named)
     )
-    checked = J.hold(timed, error=error)
+    checked = J.hold(checked, error=error)
 
     def field(f: T.StructField) -> Column:
         if isinstance(f.dataType, T.TimestampType):

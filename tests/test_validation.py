@@ -169,3 +169,10 @@ def test_contract_report_finds_nulls_and_wrong_shapes(spark):
         "missing column subject_uri string",
         "missing column subject_cid string",
     ]
+
+
+def test_each_breach_is_looked_at_once(spark):
+    rows = spark.createDataFrame([("{}", 0, 0)], "payload string, kafka_partition int, kafka_offset long")
+    checked = validation.validate_flat(rows, C.LIKE).where(F.col("error").isNull())
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[subject_cid])) = STRING") == 1
