@@ -293,7 +293,7 @@ def landing_units(spark, sf_dir):
         records = views.topic_records(spark, sf_dir, "post").where(F.col("kafka_offset") % 2 == part)
         records.write.mode("append").parquet(f"{root}/topic")
         archive.archive_stream(
-            topics.stream_topic(spark, f"{root}/topic", max_files=2),
+            topics.stream_topic(spark, f"{root}/topic", max_files=_half(spark, f"{root}/topic")),
             C.POST,
             f"{root}/bronze",
             f"{root}/dlq",
