@@ -135,6 +135,19 @@ def test_links_in_a_bucket_of_many_others_are_found(make_docs, monkeypatch, memb
     assert sorted(r.doc_id for r in kept) == sorted(least.values())
 
 
+def test_no_pair_of_a_bucket_is_left_out(spark, monkeypatch):
+    """One bucket of unlike texts and a few like ones, which leaders drawn one at a time hardly meet."""
+    monkeypatch.setattr(L, "DRAWS", 1)
+    rng = random.Random(7)
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(60)]
+    texts += [texts[own] + ["more"] for own in (11, 29, 47)]
+    sids = [int(L.set_id(L.shingle_set(*L.shingle_hashes(" ".join(t))))) for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "row_hash long, text string")
+    prints = spark.createDataFrame([(i, sid, [1]) for i, sid in enumerate(sids)], "row_hash long, sid long, bands array<long>")
+    want = {(max(sids[a], sids[b]), min(sids[a], sids[b])) for a, b in ((11, 60), (29, 61), (47, 62))}
+    assert {(r.a, r.b) for r in L.similar(docs, prints).collect()} == want
+
+
 def test_empty_table(make_docs):
     assert S.keep_one(make_docs([])).count() == 0
 
